@@ -6,6 +6,13 @@ users; `props.k` supplies set points, modes and gaps.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from thermolane.constants import CATEGORY_CODES, DEFAULT_CODES
+from thermolane.operators.cleaning import add_total_kwh
+from thermolane.operators.rollup import hourly_weather
+from thermolane.plans.features import zone_features
+from thermolane.plans.master import equipment
+from thermolane.sources.staging import stage
+
 FORECAST_FROM = "2024-01-27 00:00:00"
 
 
@@ -189,8 +196,6 @@ settings AS (
 
 def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly weather of the last four days, per site."""
-    from thermolane.operators.rollup import hourly_weather
-
     return hourly_weather(weather(spark, sf_dir).where(F.col("ts") >= F.lit(FORECAST_FROM)))
 
 
@@ -214,8 +219,6 @@ def half(x: str) -> str:
 
 def code(column: str, kind: str, fill_nulls: bool = True) -> str:
     """Category code in SQL."""
-    from thermolane.constants import CATEGORY_CODES, DEFAULT_CODES
-
     whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in CATEGORY_CODES[kind].items())
     known = f"CASE upper(trim({column})) {whens} ELSE {DEFAULT_CODES[kind]} END"
     return known if fill_nulls else f"CASE WHEN {column} IS NOT NULL THEN {known} END"
@@ -243,10 +246,6 @@ forecast AS (
 
 def features(spark: SparkSession, sf_dir: str, history_only: bool = False) -> DataFrame:
     """The zone feature table; `history_only` leaves the forecast days out."""
-    from thermolane.operators.cleaning import add_total_kwh
-    from thermolane.plans.features import zone_features
-    from thermolane.plans.master import equipment
-
     def cut_off(df):
         return df.where(F.col("ts") < F.lit(FORECAST_FROM)) if history_only else df
 
@@ -259,11 +258,18 @@ def features(spark: SparkSession, sf_dir: str, history_only: bool = False) -> Da
     )
 
 
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored feature table of the history days, as the feature job leaves it."""
-    from thermolane.sources.staging import stage
+_STORED = {}
+
 
-    return stage(features(spark, sf_dir, history_only=True), "features")
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored feature table of the history days, as the feature job leaves it.
+
+    Written once per session and source folder.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        _STORED[key] = stage(features(spark, sf_dir, history_only=True), "features")
+    return _STORED[key]
 
 
 def hours_sql() -> str:
