@@ -69,22 +69,26 @@ FROM weather GROUP BY 1, 2"""
 
 
 def _skeleton(spark, d):
-    """Zones whose units never report get default rows: readings of Z3 are left out."""
+    """Every site gets one more zone, whose unit never reports."""
     r = V.readings(spark, d)
-    silent = r.where(F.col("zone") != "Z3")
+    silent = r.select(
+        "site",
+        F.lit("Z9").alias("zone"),
+        F.lit("x").alias("outdoor_unit"),
+        F.concat(F.lit("silent-"), "site").alias("indoor_unit"),
+        F.lit(1.0).alias("load_share"),
+    ).distinct()
     hours = r.select("site", F.date_trunc("hour", "ts").alias("ts")).distinct()
-    return rollup.with_status(
-        rollup.zones_without_readings(hours, _equipment(spark, d), silent)
-    )
+    zones = _equipment(spark, d).unionByName(silent)
+    return rollup.with_status(rollup.zones_without_readings(hours, zones, r))
 
 
 QUERIES["skeleton_hours"] = _skeleton
 SQL["skeleton_hours"] = f"""WITH {V.READINGS_SQL.lstrip()}
-SELECT h.site, 'Z3' AS zone, h.ts, CAST(NULL AS DOUBLE) AS set_temp,
+SELECT DISTINCT site, 'Z9' AS zone, date_trunc('hour', ts) AS ts, CAST(NULL AS DOUBLE) AS set_temp,
        CAST(NULL AS DOUBLE) AS indoor_temp, 0 AS units_on, 0 AS mode, 0 AS fan_speed, 0 AS status,
        0 AS operation_status
-FROM (SELECT DISTINCT site, date_trunc('hour', ts) AS ts FROM readings) h
-WHERE h.site IN (SELECT DISTINCT site FROM readings WHERE zone = 'Z3')"""
+FROM readings"""
 
 _DERIVED = [
     f"{c}_{x}"
