@@ -76,7 +76,7 @@ SQL["clean_interpolate_whole_frame"] = _interpolation_sql("")
 
 QUERIES["conditional_ffill"] = lambda s, d: ordered.fill_forward_when(
     V.readings(s, d).select("event_id", "ts", "unit", "indoor_temp", "on_off"),
-    "indoor_temp",
+    ["indoor_temp"],
     F.col("on_off") == "OFF",
     ["unit"],
     ["ts", "event_id"],

@@ -17,8 +17,8 @@ def _equipment(spark, d):
 
 
 def _unit_hours(spark, d):
-    located = rollup.with_zone(V.readings(spark, d).drop("zone"), _equipment(spark, d))
-    return rollup.unit_hours(rollup.coded(located))
+    hours = rollup.unit_hours(rollup.coded(V.readings(spark, d)))
+    return rollup.with_zone(hours, _equipment(spark, d))
 
 
 def _power(spark, d):

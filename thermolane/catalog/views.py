@@ -16,10 +16,25 @@ from thermolane.sources.staging import stage
 FORECAST_FROM = "2024-01-27 00:00:00"
 
 
+def once(build):
+    """Keep the frame a view builds (its plan, not its data) for later calls of a session."""
+    kept = {}
+
+    def view(spark, sf_dir, *args):
+        key = (id(spark), sf_dir, *args)
+        if key not in kept or kept[key][0] is not spark:
+            kept[key] = (spark, build(spark, sf_dir, *args))
+        return kept[key][1]
+
+    return view
+
+
+@once
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@once
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     zone = F.col("user_id") % 5
     return table(spark, sf_dir, "events").select(
@@ -42,6 +57,7 @@ ev AS (
 )"""
 
 
+@once
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Control log: labels as text, with unknown labels and nulls."""
     e = events(spark, sf_dir)
@@ -84,6 +100,7 @@ readings AS (
 )
 
 
+@once
 def power(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
     return e.select(
@@ -109,6 +126,7 @@ power AS (
 TOTAL_KWH_SQL = "(coalesce(phase_a, 0) + coalesce(phase_b, 0) + coalesce(phase_c, 0))"
 
 
+@once
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather samples of a site."""
     return events(spark, sf_dir).select(
@@ -128,6 +146,7 @@ weather AS (
 )"""
 
 
+@once
 def master_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equipment master: one row per indoor unit. Outdoor ids name a meter, some with a suffix."""
     users = events(spark, sf_dir).select("site", "zone", "user_id").distinct()
@@ -163,35 +182,30 @@ SETTINGS = [
     ("Z4", "13月", "07:00", "19:00", 23.0, 26.0, 21.0, 28.0, "Low", "HEAT"),
 ]
 SETTING_COLUMNS = (
-    "zone string, month_label string, start_time string, end_time string, comfort_min double, "
-    "comfort_max double, setpoint_min double, setpoint_max double, fan_candidates string, "
-    "operation_type string"
+    "zone, month_label, start_time, end_time, comfort_min, comfort_max, setpoint_min, "
+    "setpoint_max, fan_candidates, operation_type"
 )
 
 
+def _sql_value(v) -> str:
+    return "NULL" if v is None else f"'{v}'" if isinstance(v, str) else f"CAST({v} AS DOUBLE)"
+
+
+SETTING_VALUES = ", ".join("(" + ", ".join(_sql_value(v) for v in row) + ")" for row in SETTINGS)
+
+
 def settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Settings master: the fixed rows for every site that has the zone."""
-    fixed = spark.createDataFrame(SETTINGS, SETTING_COLUMNS)
+    fixed = spark.sql(f"SELECT * FROM VALUES {SETTING_VALUES} AS t({SETTING_COLUMNS})")
     zones = events(spark, sf_dir).select("site", "zone").distinct()
     return zones.join(fixed, "zone")
 
 
-def _sql_value(v) -> str:
-    return "NULL" if v is None else f"'{v}'" if isinstance(v, str) else f"{v}::DOUBLE"
-
-
-SETTINGS_SQL = (
-    """,
-fixed_settings(zone, month_label, start_time, end_time, comfort_min, comfort_max, setpoint_min,
-               setpoint_max, fan_candidates, operation_type) AS (
-  VALUES """
-    + ", ".join("(" + ", ".join(_sql_value(v) for v in row) + ")" for row in SETTINGS)
-    + """
-),
+SETTINGS_SQL = f""",
+fixed_settings({SETTING_COLUMNS}) AS (VALUES {SETTING_VALUES}),
 settings AS (
   SELECT z.site, f.* FROM (SELECT DISTINCT site, zone FROM ev) z JOIN fixed_settings f USING (zone)
 )"""
-)
 
 
 def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,18 +272,13 @@ def features(spark: SparkSession, sf_dir: str, history_only: bool = False) -> Da
     )
 
 
-_STORED = {}
-
-
+@once
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored feature table of the history days, as the feature job leaves it.
 
     Written once per session and source folder.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
-        _STORED[key] = stage(features(spark, sf_dir, history_only=True), "features")
-    return _STORED[key]
+    return stage(features(spark, sf_dir, history_only=True), "features")
 
 
 def hours_sql() -> str:

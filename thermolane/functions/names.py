@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
+from thermolane.sources.staging import stage
+
 # Dash characters written as "-", and blanks removed, in unit names.
 DASHES = "–—−ー"
 BLANKS = " 　"
@@ -32,7 +34,9 @@ def normalize_unit_names(df: DataFrame, column: str = "unit") -> DataFrame:
     """Replace `column` by its normal form.
 
     Only names with a character outside ASCII can change under NFKC, so Python sees the
-    distinct names of that kind and every other row stays in the JVM.
+    distinct names of that kind and every other row stays in the JVM. The table of names is
+    stored: its true size tells Catalyst whether to broadcast it, so rows are not shuffled
+    by name while it is small.
     """
     ascii_only = F.col(column).rlike(r"^[\x00-\x7F]*$")
     raw = f"__raw_{column}"
@@ -42,6 +46,7 @@ def normalize_unit_names(df: DataFrame, column: str = "unit") -> DataFrame:
         .distinct()
         .withColumn("__nfkc", nfkc(F.col(raw)))
     )
+    special = stage(special, "unit-names")
     joined = df.join(special, F.col(column) == F.col(raw), "left")
     return joined.withColumn(
         column, plain_dashes(F.coalesce(F.col("__nfkc"), F.col(column)))

@@ -6,6 +6,9 @@ each (key, bucket) in parallel, and pass what crosses a bucket edge through a su
 one row per (key, bucket). The answer is the one the unsplit window gives.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _BUCKET = "__bucket"
@@ -65,10 +68,11 @@ def _carry(summary: DataFrame, keys) -> DataFrame:
 
 
 def _join_buckets(rows: DataFrame, summary: DataFrame, keys) -> DataFrame:
-    on = rows[_BUCKET].eqNullSafe(summary[_BUCKET])
-    for k in keys:
-        on = on & rows[k].eqNullSafe(summary[k])
-    return rows.join(summary, on).drop(*[summary[c] for c in (*keys, _BUCKET)])
+    """Attach the summary of its (key, bucket) to every row; null keys match null keys."""
+    names = [*keys, _BUCKET]
+    renamed = summary.withColumnsRenamed({k: f"__of_{k}" for k in names})
+    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in names])
+    return rows.join(renamed, on).drop(*[f"__of_{k}" for k in names])
 
 
 def interpolate_linear(
@@ -99,30 +103,37 @@ def interpolate_linear(
 
 
 def fill_forward_when(
-    df: DataFrame, value: str, trigger: Column, keys, order, bucket: Column
+    df: DataFrame, values, trigger: Column, keys, order, bucket: Column
 ) -> DataFrame:
-    """Forward-fill `value` in every series that has a null where `trigger` holds.
+    """Forward-fill each of `values` in every series with a null of it where `trigger` holds.
 
     One such cell makes the whole series be filled; a series without one keeps its nulls.
+    All columns share one window pass and one summary.
     """
-    marked = df.withColumn("__hit", F.coalesce(trigger & F.col(value).isNull(), F.lit(False)))
-    rows, summary = _edges(marked, keys, order, bucket, value)
-    hits = marked.groupBy(*keys).agg(F.max("__hit").alias("__fill"))
-    carried = _carry(summary, keys)
-    if keys:
-        on = [carried[k].eqNullSafe(hits[k]) for k in keys]
-        cond = on[0]
-        for c in on[1:]:
-            cond = cond & c
-        carried = carried.join(hits, cond).drop(*[hits[k] for k in keys])
-    else:
-        carried = carried.withColumn("__fill", hits.scalar())
-    joined = _join_buckets(rows, carried, keys)
-    filled = F.when(
-        F.col("__fill"),
-        F.coalesce(F.col(value), F.col("__prev.v"), F.col("__before.v")),
-    ).otherwise(F.col(value))
-    return joined.withColumn(value, filled).select(*df.columns)
+    marked = df.withColumn(_BUCKET, bucket)
+    here = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
+    so_far = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    place = F.struct(*order)
+    rows, edges, carried = marked, [], []
+    line = Window.partitionBy(*keys).orderBy(_BUCKET)
+    before = line.rowsBetween(Window.unboundedPreceding, -1)
+    for v in values:
+        known = F.col(v).isNotNull()
+        rows = rows.withColumn(f"__prev_{v}", F.last(v, ignorenulls=True).over(so_far))
+        edges.append(F.max_by(v, F.when(known, place)).alias(f"__last_{v}"))
+        edges.append(F.max(F.coalesce(trigger & ~known, F.lit(False))).alias(f"__hit_{v}"))
+        carried.append(F.last(f"__last_{v}", ignorenulls=True).over(before).alias(f"__before_{v}"))
+        carried.append(
+            F.max(f"__hit_{v}").over(Window.partitionBy(*keys)).alias(f"__fill_{v}")
+        )
+    summary = marked.groupBy(*keys, _BUCKET).agg(*edges).select(*keys, _BUCKET, *carried)
+    joined = _join_buckets(rows, summary, keys)
+
+    def filled(v):
+        value = F.coalesce(F.col(v), F.col(f"__prev_{v}"), F.col(f"__before_{v}"))
+        return F.when(F.col(f"__fill_{v}"), value).otherwise(F.col(v)).alias(v)
+
+    return joined.select(*[filled(c) if c in values else F.col(c) for c in df.columns])
 
 
 def row_positions(df: DataFrame, keys, order, bucket: Column, name: str = "pos") -> DataFrame:

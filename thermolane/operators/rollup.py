@@ -1,6 +1,6 @@
 """Hourly rollups, power and weather aggregates, and joins with equipment dimensions."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from thermolane.constants import WEATHER_ALIASES
 from thermolane.functions import categories as cat
@@ -9,9 +9,10 @@ from thermolane.functions.numeric import MEAN2_DIGITS, steady, steady_mean
 ZONE_KEYS = ["site", "zone"]
 
 
-def unit_hours(readings: DataFrame, keys=("site", "zone", "unit")) -> DataFrame:
+def unit_hours(readings: DataFrame, keys=("site", "unit")) -> DataFrame:
     """One row per unit and hour: commonest set point, mode and fan, mean room, ever on.
 
+    This is the only step that shuffles raw readings, and it combines them map-side first.
     `mode(..., True)` takes the lowest of tied values. Its buffer counts distinct values,
     and set points and codes have a few dozen, so partial aggregation stays small.
     """
@@ -68,16 +69,17 @@ def zones_without_readings(hours: DataFrame, zones: DataFrame, filled: DataFrame
     )
 
 
-def with_zone(readings: DataFrame, equipment: DataFrame) -> DataFrame:
+def with_zone(rows: DataFrame, equipment: DataFrame) -> DataFrame:
     """Attach the zones of each unit; a unit in two zones gives two rows, unlisted units go.
 
-    No hint: Catalyst broadcasts the equipment table when its size is below the threshold
-    and otherwise sort-merges, where adaptive execution splits hot units.
+    Join unit hours, not raw readings: settings of a unit do not depend on its zone. No hint:
+    Catalyst broadcasts the equipment table when its size is below the threshold and
+    otherwise sort-merges, where adaptive execution splits hot units.
     """
     units = equipment.select(
         "site", "zone", F.col("indoor_unit").alias("unit")
     ).distinct()
-    return readings.join(units, ["site", "unit"])
+    return rows.join(units, ["site", "unit"])
 
 
 def coded(readings: DataFrame, fill_nulls: bool = True) -> DataFrame:
@@ -91,45 +93,36 @@ def coded(readings: DataFrame, fill_nulls: bool = True) -> DataFrame:
     return out
 
 
-def resolve_meters(outdoor: DataFrame, meters: DataFrame) -> DataFrame:
-    """Meter of each outdoor unit: the same id, else the part before "-".
-
-    `outdoor` has (site, zone, outdoor_unit, load_share), `meters` the distinct
-    (site, mesh_id) as text.
-    """
-    exact = meters.select("site", F.col("mesh_id").alias("outdoor_unit")).withColumn(
-        "__exact", F.lit(True)
-    )
-    base = meters.select("site", F.col("mesh_id").alias("__base"), F.lit(True).alias("__has"))
-    wanted = (
-        outdoor.groupBy("site", "zone", "outdoor_unit")
+def meter_choices(outdoor: DataFrame) -> DataFrame:
+    """Meters an outdoor unit may have: its own id (choice 0), else the part before "-" (1)."""
+    ids = F.when(
+        F.col("outdoor_unit").contains("-"),
+        F.array(F.col("outdoor_unit"), F.substring_index("outdoor_unit", "-", 1)),
+    ).otherwise(F.array("outdoor_unit"))
+    return (
+        outdoor.groupBy(*ZONE_KEYS, "outdoor_unit")
         .agg(F.max("load_share").alias("load_share"))
-        .join(exact, ["site", "outdoor_unit"], "left")
-        .withColumn("__base", F.substring_index("outdoor_unit", "-", 1))
-        .join(base, ["site", "__base"], "left")
+        .select("*", F.posexplode(ids).alias("choice", "mesh_id"))
     )
-    return wanted.select(
-        "site",
-        "zone",
-        "load_share",
-        F.when(F.col("__exact"), F.col("outdoor_unit"))
-        .when(F.col("__has") & F.col("outdoor_unit").contains("-"), F.col("__base"))
-        .alias("mesh_id"),
-    ).where(F.col("mesh_id").isNotNull())
 
 
 def zone_power(power: DataFrame, outdoor: DataFrame) -> DataFrame:
     """Hourly power of each zone: hourly sum per meter, times load share, summed.
 
-    Readings are summed per meter and hour before the join, so the join sees hours only.
+    Readings are summed per meter and hour before the join, so the join sees hours only. An
+    outdoor unit whose own id has readings uses them; the base id is for units without any.
+    The best choice is found over the hours of one outdoor unit, so power is read once.
     """
     hourly = power.groupBy(
-        "site", F.col("mesh_id").cast("string").alias("mesh_id"),
+        "site",
+        F.col("mesh_id").cast("string").alias("mesh_id"),
         F.date_trunc("hour", "ts").alias("ts"),
     ).agg(F.sum("total_kwh").alias("kwh"))
-    meters = power.select("site", F.col("mesh_id").cast("string").alias("mesh_id")).distinct()
+    unit = Window.partitionBy(*ZONE_KEYS, "outdoor_unit")
     return (
-        hourly.join(resolve_meters(outdoor, meters), ["site", "mesh_id"])
+        hourly.join(meter_choices(outdoor), ["site", "mesh_id"])
+        .withColumn("best", F.min("choice").over(unit))
+        .where("choice = best")
         .groupBy(*ZONE_KEYS, "ts")
         .agg(steady(F.sum(F.col("kwh") * F.col("load_share")), 4).alias("adjusted_power"))
     )

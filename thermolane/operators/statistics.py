@@ -161,7 +161,11 @@ def update_master(master: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def correlations(df: DataFrame, features, targets) -> DataFrame:
-    """Absolute pairwise correlation of features with targets in one aggregate."""
+    """Absolute correlation of every feature with every target; null where one is constant.
+
+    Pairs are unpivoted and aggregated by name. Partial aggregation leaves one row per pair
+    and task; a pair skips rows where either value is null.
+    """
     pairs = [
         (t, f)
         for t in targets
@@ -171,24 +175,28 @@ def correlations(df: DataFrame, features, targets) -> DataFrame:
     ]
     if not pairs:
         raise ValueError("none of the features and targets is a column of the table")
-
-    def corr(a, b):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        spread = (F.stddev_pop(F.when(both, x)) > 0) & (F.stddev_pop(F.when(both, y)) > 0)
-        return F.when(spread, steady(F.abs(F.corr(x, y))))
-
-    row = df.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(t).alias("target"), F.lit(f).alias("feature"), corr(f, t).alias("corr")
-                )
-                for t, f in pairs
-            ]
-        ).alias("r")
+    rows = df.select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(t).alias("target"),
+                        F.lit(f).alias("feature"),
+                        F.col(f).cast("double").alias("x"),
+                        F.col(t).cast("double").alias("y"),
+                    )
+                    for t, f in pairs
+                ]
+            )
+        ).alias("p")
+    ).select("p.*")
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    x, y = F.when(both, F.col("x")), F.when(both, F.col("y"))
+    return rows.groupBy("target", "feature").agg(
+        steady(
+            F.abs(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
+        ).alias("corr")
     )
-    return row.select(F.explode("r").alias("r")).select("r.*")
 
 
 def top_correlated(corr: DataFrame, top: int = 5) -> DataFrame:

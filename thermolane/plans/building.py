@@ -58,11 +58,9 @@ def filled_hours(indoor: DataFrame) -> DataFrame:
     """Null policy, long: complete hours only, then forward fill of columns with a gap
     while the unit is off. Works per (site, unit), so no task sees a whole building."""
     rows = indoor.join(complete_hours(indoor), ["site", "ts"], "left_semi")
-    for c in FILLED:
-        rows = fill_forward_when(
-            rows, c, F.col("on_off") == 0, ["site", "unit"], ["ts"], F.to_date("ts")
-        )
-    return rows
+    return fill_forward_when(
+        rows, FILLED, F.col("on_off") == 0, ["site", "unit"], ["ts"], F.trunc("ts", "month")
+    )
 
 
 def building_matrix(

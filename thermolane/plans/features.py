@@ -7,6 +7,7 @@ from thermolane.functions.names import normalize_unit_names
 from thermolane.functions.numeric import MEAN2_DIGITS, round_half_even, steady, wet_bulb
 from thermolane.functions.temporal import calendar_columns, hour_of_week
 from thermolane.operators import ordered, rollup
+from thermolane.sources.staging import stage
 
 ZONE = ["site", "zone"]
 
@@ -19,18 +20,22 @@ def zone_features(
     holidays: DataFrame = None,
     code_labels: bool = True,
     normalize_names: bool = True,
+    durable: bool = True,
 ) -> DataFrame:
     """One row per (site, zone, hour) with settings, power, weather, calendar and lag.
 
-    Readings shrink to unit hours in the first shuffle; everything after it is hourly.
+    Readings shrink to unit hours in the first shuffle; everything after it is hourly. The
+    unit hours feed both the zones and the hours of empty zones: `durable` stores them, so
+    that raw readings are read once.
     """
     if normalize_names:
         readings = normalize_unit_names(readings, "unit")
         equipment = normalize_unit_names(equipment, "indoor_unit")
-    located = rollup.with_zone(readings, equipment)
-    coded = rollup.coded(located) if code_labels else located
-    filled = rollup.zone_hours(rollup.unit_hours(coded))
-    hours = readings.select("site", F.date_trunc("hour", "ts").alias("ts")).distinct()
+    units = rollup.unit_hours(rollup.coded(readings) if code_labels else readings)
+    if durable:
+        units = stage(units, "unit-hours")
+    filled = rollup.zone_hours(rollup.with_zone(units, equipment))
+    hours = units.select("site", "ts").distinct()
     empty = rollup.zones_without_readings(hours, equipment, filled)
     zones = rollup.with_status(filled.unionByName(empty))
     joined = zones.join(rollup.zone_power(power, equipment), [*ZONE, "ts"], "left").join(

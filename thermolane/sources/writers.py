@@ -6,7 +6,14 @@ PARTITION_UNITS = {"DAY": "day", "HOUR": "hour", "MONTH": "month"}
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    # Spark trims text in CSV output unless told not to.
+    (
+        df.write.mode(mode)
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def write_newest_first(df: DataFrame, path: str, ts: str = "ts") -> None:
@@ -34,20 +41,21 @@ def write_partitioned(
 ) -> None:
     """Parquet partitioned by time and sorted inside files by the cluster columns.
 
-    Rows go to writers by partition and a hash of the cluster columns, so each partition
-    gets a few files, and a partition with most of the rows is spread over many writers.
+    Rows are rebalanced by partition: adaptive execution gives small partitions one writer
+    and splits a partition that holds most of the rows over many.
     """
-    parts = with_partition(df, ts, unit)
-    spread = F.pmod(F.xxhash64(*(cluster_by or [ts])), F.lit(16))
     (
-        parts.repartition("part", spread)
-        .sortWithinPartitions("part", *cluster_by)
+        _balanced(with_partition(df, ts, unit), cluster_by)
         .write.mode(mode)
         .partitionBy("part")
         .parquet(path)
     )
 
 
+def _balanced(parts: DataFrame, cluster_by) -> DataFrame:
+    return parts.hint("rebalance", F.col("part")).sortWithinPartitions("part", *cluster_by)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
@@ -85,8 +93,7 @@ def upsert(batch: DataFrame, path: str, keys, ts: str, unit: str = "DAY") -> Non
     )
     merged = merged_rows(target, parts, keys)
     (
-        merged.repartition("part", F.pmod(F.xxhash64(*keys), F.lit(16)))
-        .sortWithinPartitions("part", *[k for k in keys if k != ts])
+        _balanced(merged, [k for k in keys if k != ts])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("part")
