@@ -68,15 +68,15 @@ def _matched(spark, d, options):
     return planner.matched_hours(hist, fc, patterns, _settings(spark, d), options)
 
 
-def _coverage(spark, d):
-    return matching.day_coverage(
+def _candidate_hours(spark, d):
+    return matching.candidate_hours(
         _history(spark, d), _candidates(spark, d), matching.forecast_days(V.forecast(spark, d))
     )
 
 
-def _block_rows(spark, d):
+def _block_hours(spark, d):
     fc = planner.working_forecast(V.forecast(spark, d), BLOCKS)
-    return matching.block_rows(
+    return matching.block_hours(
         _history(spark, d), _candidates(spark, d, BLOCKS), matching.forecast_blocks(fc, 2)
     )
 
@@ -350,24 +350,14 @@ QUERIES["operation_type_filter"] = lambda s, d: _candidates(s, d).select(
 SQL["operation_type_filter"] = candidates_sql() + """
 SELECT site, zone, fc_date, date, rnk AS rank, op AS operation_type FROM cand"""
 
-QUERIES["candidate_day_coverage"] = lambda s, d: _coverage(s, d).select(
-    "site",
-    "zone",
-    "fc_date",
-    "date",
-    "rank",
-    "avg_power",
-    "available_hours",
-    "missing_hours",
-    "coverage_rate",
-)
+QUERIES["candidate_day_coverage"] = lambda s, d: matching.day_coverage(_candidate_hours(s, d))
 SQL["candidate_day_coverage"] = candidates_sql() + day_patterns_sql() + """
 SELECT site, zone, fc_date, date, rnk AS rank, avg_power, available AS available_hours,
        fc_n - available AS missing_hours, available / fc_n AS coverage_rate
 FROM coverage"""
 
 QUERIES["best_complete_day"] = lambda s, d: matching.whole_day_patterns(
-    _history(s, d), matching.best_days(_coverage(s, d)), prefer_target=True
+    matching.best_day_hours(_candidate_hours(s, d)), prefer_target=True
 )
 SQL["best_complete_day"] = candidates_sql() + day_patterns_sql() + " SELECT * FROM patterns"
 
@@ -387,7 +377,7 @@ SELECT user_id, date, hour, min(hour) OVER (PARTITION BY user_id, date, island,
 FROM p"""
 
 QUERIES["best_hour_block"] = lambda s, d: matching.best_blocks(
-    matching.block_distances(_block_rows(s, d))
+    matching.best_block_hours(_block_hours(s, d))
 )
 SQL["best_hour_block"] = candidates_sql(HOURS) + block_patterns_sql() + """
 SELECT site, zone, fc_date, block_start, date, rnk AS rank, distance, avg_power FROM best_block"""

@@ -123,28 +123,43 @@ def mode_is_allowed():
     )
 
 
-def day_coverage(history: DataFrame, candidates: DataFrame, days: DataFrame) -> DataFrame:
-    """Mean power, missing hours and coverage of each candidate day over the forecast hours."""
+def candidate_hours(history: DataFrame, candidates: DataFrame, days: DataFrame) -> DataFrame:
+    """Pattern rows of every candidate day at the forecast hours, with the day's coverage.
+
+    Adds avg_power, available_hours, missing_hours and coverage_rate of the row's day. One
+    repartition by forecast day serves these windows and the later choice; such a partition
+    holds at most `top` days of 24 hourly rows.
+    """
     wanted = candidates.join(days.select("site", "fc_date", "fc_hours"), ["site", "fc_date"])
-    in_forecast = F.getbit(F.col("fc_hours").cast("long"), F.col("hour")) == 1
+    rows = (
+        wanted.drop("modes", "score")
+        .join(history, [*ZONE, "date"])
+        .where(F.getbit(F.col("fc_hours").cast("long"), F.col("hour")) == 1)
+    )
+    day = Window.partitionBy(*CASE, "date")
     required = popcount(F.col("fc_hours"))
     return (
-        wanted.join(history.select(*ZONE, "date", "hour", "adjusted_power"), [*ZONE, "date"])
-        .where(in_forecast)
-        .groupBy(*CASE, "date", "rank", "fc_hours", "operation_type", "allowed", "target")
-        .agg(
-            steady_mean(F.col("adjusted_power"), MEAN2_DIGITS).alias("avg_power"),
-            popcount(hour_mask(F.col("hour"))).alias("available_hours"),
+        rows.repartition(*CASE)
+        .withColumn(
+            "avg_power", steady(F.avg("adjusted_power").over(day), MEAN2_DIGITS)
         )
+        .withColumn("available_hours", popcount(hour_mask(F.col("hour")).over(day)))
         .withColumn("missing_hours", required - F.col("available_hours"))
         .withColumn("coverage_rate", F.col("available_hours") / required)
     )
 
 
-def best_days(coverage: DataFrame) -> DataFrame:
-    """Complete day of lowest power; without one, the day missing fewest hours."""
+def day_coverage(hours: DataFrame) -> DataFrame:
+    """One row per candidate day: mean power, missing hours and coverage."""
+    return hours.select(
+        *CASE, "date", "rank", "avg_power", "available_hours", "missing_hours", "coverage_rate"
+    ).dropDuplicates([*CASE, "date"])
+
+
+def best_day_hours(hours: DataFrame) -> DataFrame:
+    """Rows of the complete day of lowest power; without one, of the day missing fewest hours."""
     w = Window.partitionBy(*CASE).orderBy("missing_hours", "avg_power", "rank")
-    return coverage.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    return hours.withColumn("__place", F.dense_rank().over(w)).where("__place = 1").drop("__place")
 
 
 PATTERN_COLUMNS = [
@@ -159,21 +174,13 @@ PATTERN_COLUMNS = [
 ]
 
 
-def whole_day_patterns(
-    history: DataFrame, best: DataFrame, prefer_target: bool = False
-) -> DataFrame:
-    """One pattern per hour of the chosen day.
+def whole_day_patterns(best_hours: DataFrame, prefer_target: bool = False) -> DataFrame:
+    """One pattern per hour of the chosen day, from its rows of an allowed mode.
 
     Each column takes its first non-null value by (preferred mode, power), so one hour may
     mix two rows, as the source rule has it.
     """
-    rows = (
-        history.join(
-            best.select(*CASE, "date", "fc_hours", "allowed", "target"), [*ZONE, "date"]
-        )
-        .where(F.getbit(F.col("fc_hours").cast("long"), F.col("hour")) == 1)
-        .where(mode_is_allowed())
-    )
+    rows = best_hours.where(mode_is_allowed())
     other = (
         F.coalesce((F.col("mode") != F.col("target")).cast("int"), F.lit(0))
         if prefer_target
@@ -212,58 +219,63 @@ def forecast_blocks(forecast: DataFrame, size: int) -> DataFrame:
     )
 
 
-def block_rows(history: DataFrame, candidates: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Allowed pattern rows of every candidate day at the hours of every block."""
-    return (
+def block_hours(history: DataFrame, candidates: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Allowed pattern rows of candidate days that cover a whole block, with the distance.
+
+    Adds distance (weather of the day's block to the forecast block) and avg_power. A block
+    of one row has no deviation, so the plain difference counts. One repartition by block
+    serves these windows and the later choice; such a partition holds at most `top` days of
+    a block's hourly rows.
+    """
+    rows = (
         candidates.select(*CASE, "date", "rank", "allowed", "target")
         .join(history, [*ZONE, "date"])
         .where(mode_is_allowed())
         .join(blocks, ["site", "fc_date", "hour"])
+        .repartition(*CASE, "block_start")
     )
+    day = Window.partitionBy(*CASE, "block_start", "date")
 
-
-def block_distances(rows: DataFrame) -> DataFrame:
-    """Weather distance and mean power of each candidate day that covers a whole block."""
-    per_day = rows.groupBy(
-        *CASE, "block_start", "date", "rank", "block_temp", "block_solar", "block_hours"
-    ).agg(
-        popcount(hour_mask(F.col("hour"))).alias("__covered"),
-        F.avg("outdoor_temp").alias("__t"),
-        F.stddev_samp("outdoor_temp").alias("__t_sd"),
-        F.avg("solar_radiation").alias("__s"),
-        F.stddev_samp("solar_radiation").alias("__s_sd"),
-        steady_mean(F.col("adjusted_power"), MEAN2_DIGITS).alias("avg_power"),
-    )
-
-    def gap(fc, hist, sd):
-        diff = F.abs(F.col(fc) - F.col(hist))
-        return F.when(F.col(sd) > 0, diff / F.col(sd)).otherwise(diff)
+    def gap(forecast, column):
+        diff = F.abs(F.col(forecast) - F.avg(column).over(day))
+        sd = F.stddev_samp(column).over(day)
+        return F.when(sd > 0, diff / sd).otherwise(diff)
 
     w = cat.weather_weights(F.col("block_start"))
-    distance = w["temperature"] * gap("block_temp", "__t", "__t_sd") + w["solar"] * gap(
-        "block_solar", "__s", "__s_sd"
-    )
-    return per_day.where(F.col("__covered") == F.col("block_hours")).select(
-        *CASE, "block_start", "date", "rank", steady(distance).alias("distance"), "avg_power"
+    return (
+        rows.withColumn("__covered", popcount(hour_mask(F.col("hour")).over(day)))
+        .withColumn("__t", gap("block_temp", "outdoor_temp"))
+        .withColumn("__s", gap("block_solar", "solar_radiation"))
+        .withColumn("avg_power", steady(F.avg("adjusted_power").over(day), MEAN2_DIGITS))
+        .where(F.col("__covered") == F.col("block_hours"))
+        .withColumn(
+            "distance", steady(w["temperature"] * F.col("__t") + w["solar"] * F.col("__s"))
+        )
+        .drop("__covered", "__t", "__s")
     )
 
 
-def best_blocks(distances: DataFrame) -> DataFrame:
+def best_block_hours(rows: DataFrame) -> DataFrame:
+    """Rows of the nearest day of every block; equal distances go to lower power, then rank."""
     w = Window.partitionBy(*CASE, "block_start").orderBy(
         F.col("distance").asc_nulls_last(), "avg_power", "rank"
     )
-    return distances.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    return rows.withColumn("__place", F.dense_rank().over(w)).where("__place = 1").drop("__place")
 
 
-def block_patterns(rows: DataFrame, best: DataFrame) -> DataFrame:
+def best_blocks(best_hours: DataFrame) -> DataFrame:
+    """One row per block: the chosen day with its distance and power."""
+    return best_hours.select(
+        *CASE, "block_start", "date", "rank", "distance", "avg_power"
+    ).dropDuplicates([*CASE, "block_start"])
+
+
+def block_patterns(best_hours: DataFrame) -> DataFrame:
     """One row per forecast hour from the chosen blocks: target mode first, then low power."""
-    chosen = rows.join(
-        best.select(*CASE, "block_start", "date"), [*CASE, "block_start", "date"], "left_semi"
-    )
     other = F.coalesce((F.col("mode") != F.col("target")).cast("int"), F.lit(0))
-    w = Window.partitionBy(*CASE, "hour").orderBy(other, "adjusted_power", "ts")
+    w = Window.partitionBy(*CASE, "block_start", "hour").orderBy(other, "adjusted_power", "ts")
     return (
-        chosen.withColumn("__rn", F.row_number().over(w))
+        best_hours.withColumn("__rn", F.row_number().over(w))
         .where("__rn = 1")
         .select(*CASE, "hour", *PATTERN_COLUMNS, F.col("ts").alias("hist_ts"))
     )

@@ -2,27 +2,85 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from thermolane.constants import WEATHER_ALIASES
+from thermolane.constants import CATEGORY_CODES, WEATHER_ALIASES
 from thermolane.functions import categories as cat
 from thermolane.functions.numeric import MEAN2_DIGITS, steady, steady_mean
 
 ZONE_KEYS = ["site", "zone"]
 
 
+def _code_counts(column: str):
+    """One counter per code of a category; counters sum, so they combine map-side."""
+    return [
+        F.count_if(F.col(column) == code).alias(f"{column}_{code}")
+        for code in CATEGORY_CODES[column].values()
+    ]
+
+
+def _summed_counts(column: str):
+    return [F.sum(n).alias(n) for n in _count_names(column)]
+
+
+def _count_names(column: str):
+    return [f"{column}_{code}" for code in CATEGORY_CODES[column].values()]
+
+
+def _commonest_code(column: str):
+    """Code with the highest counter, the lowest code on ties, null when nothing was counted."""
+    counts = F.array(*_count_names(column))
+    top = F.array_max(counts)
+    codes = F.array(*[F.lit(c) for c in CATEGORY_CODES[column].values()])
+    return F.when(top > 0, F.element_at(codes, F.array_position(counts, top).cast("int"))).alias(
+        column
+    )
+
+
+def _commonest_value(column: str, weight: str):
+    """Value with the highest weight, the lowest value on ties; null values do not compete."""
+    order = F.struct(F.col(weight), (-F.col(column)).alias("low_first"))
+    return F.max_by(column, F.when(F.col(column).isNotNull(), order)).alias(column)
+
+
+# The commonest value of a group is found by counting, not with the `mode` aggregate: its
+# hash-map buffers are serialised for every group and task, which dominates the rollup. Here
+# categories become counters, the set point a grouping key, and plain hash aggregation does
+# the rest; a second, small aggregation picks the winner.
+
+
 def unit_hours(readings: DataFrame, keys=("site", "unit")) -> DataFrame:
     """One row per unit and hour: commonest set point, mode and fan, mean room, ever on.
 
     This is the only step that shuffles raw readings, and it combines them map-side first.
-    `mode(..., True)` takes the lowest of tied values. Its buffer counts distinct values,
-    and set points and codes have a few dozen, so partial aggregation stays small.
     """
-    return readings.groupBy(*keys, F.date_trunc("hour", "ts").alias("ts")).agg(
-        F.mode("set_temp", True).alias("set_temp"),
-        steady_mean(F.col("indoor_temp")).alias("indoor_temp"),
-        F.max("on_off").alias("on_off"),
-        F.mode("mode", True).alias("mode"),
-        F.mode("fan_speed", True).alias("fan_speed"),
+    hour = F.date_trunc("hour", "ts").alias("ts")
+    by_set_point = readings.groupBy(*keys, hour, "set_temp").agg(
         F.count(F.lit(1)).alias("samples"),
+        F.sum("indoor_temp").alias("indoor_sum"),
+        F.count("indoor_temp").alias("indoor_n"),
+        F.max("on_off").alias("on_off"),
+        *_code_counts("mode"),
+        *_code_counts("fan_speed"),
+    )
+    return (
+        by_set_point.groupBy(*keys, "ts")
+        .agg(
+            _commonest_value("set_temp", "samples"),
+            steady(F.try_divide(F.sum("indoor_sum"), F.sum("indoor_n"))).alias("indoor_temp"),
+            F.max("on_off").alias("on_off"),
+            F.sum("samples").alias("samples"),
+            *_summed_counts("mode"),
+            *_summed_counts("fan_speed"),
+        )
+        .select(
+            *keys,
+            "ts",
+            "set_temp",
+            "indoor_temp",
+            "on_off",
+            _commonest_code("mode"),
+            _commonest_code("fan_speed"),
+            "samples",
+        )
     )
 
 
@@ -31,12 +89,34 @@ def zone_hours(units: DataFrame) -> DataFrame:
 
     The zone's mode is the mode of its first unit by name.
     """
-    return units.groupBy(*ZONE_KEYS, "ts").agg(
-        F.mode("set_temp", True).alias("set_temp"),
-        steady_mean(F.col("indoor_temp"), MEAN2_DIGITS).alias("indoor_temp"),
-        F.sum("on_off").cast("int").alias("units_on"),
-        F.min_by("mode", "unit").alias("mode"),
-        F.mode("fan_speed", True).alias("fan_speed"),
+    by_set_point = units.groupBy(*ZONE_KEYS, "ts", "set_temp").agg(
+        F.count(F.lit(1)).alias("units"),
+        F.sum("indoor_temp").alias("indoor_sum"),
+        F.count("indoor_temp").alias("indoor_n"),
+        F.sum("on_off").alias("units_on"),
+        F.min(F.struct("unit", "mode")).alias("first_unit"),
+        *_code_counts("fan_speed"),
+    )
+    return (
+        by_set_point.groupBy(*ZONE_KEYS, "ts")
+        .agg(
+            _commonest_value("set_temp", "units"),
+            steady(F.try_divide(F.sum("indoor_sum"), F.sum("indoor_n")), MEAN2_DIGITS).alias(
+                "indoor_temp"
+            ),
+            F.sum("units_on").cast("int").alias("units_on"),
+            F.min("first_unit").alias("first_unit"),
+            *_summed_counts("fan_speed"),
+        )
+        .select(
+            *ZONE_KEYS,
+            "ts",
+            "set_temp",
+            "indoor_temp",
+            "units_on",
+            F.col("first_unit.mode").alias("mode"),
+            _commonest_code("fan_speed"),
+        )
     )
 
 

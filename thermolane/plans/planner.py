@@ -66,14 +66,13 @@ def chosen_patterns(
     """One pattern per (site, zone, fc_date, hour) that has one."""
     candidates = similar_day_candidates(history, forecast, operation_types, options)
     if options.block_hours is None:
-        coverage = matching.day_coverage(history, candidates, matching.forecast_days(forecast))
+        hours = matching.candidate_hours(history, candidates, matching.forecast_days(forecast))
         return matching.whole_day_patterns(
-            history, matching.best_days(coverage), options.use_mode_priority
+            matching.best_day_hours(hours), options.use_mode_priority
         )
-    rows = matching.block_rows(
-        history, candidates, matching.forecast_blocks(forecast, options.block_hours)
-    )
-    return matching.block_patterns(rows, matching.best_blocks(matching.block_distances(rows)))
+    blocks = matching.forecast_blocks(forecast, options.block_hours)
+    rows = matching.block_hours(history, candidates, blocks)
+    return matching.block_patterns(matching.best_block_hours(rows))
 
 
 def matched_hours(
