@@ -77,8 +77,8 @@ def day_scores(daily: DataFrame, days: DataFrame, weighted: bool = False) -> Dat
 def similar_days(scores: DataFrame, top: int) -> DataFrame:
     """The `top` nearest days per forecast day; equal scores keep the earlier date.
 
-    The rank limit runs map-side before the shuffle, so a zone with a long history sends
-    `top` rows per task.
+    Spark applies the rank limit before any shuffle the ranking needs (window group limit),
+    so a long history sends on `top` rows per task.
     """
     w = Window.partitionBy(*CASE).orderBy(F.col("score").asc_nulls_last(), "date")
     return (

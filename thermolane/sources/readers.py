@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from thermolane.constants import LOCAL_ZONE, WEATHER_JSON
 from thermolane.functions.names import strip_bom
+from thermolane.sources.writers import partition_name
 
 
 def read_csv(spark: SparkSession, path, schema=None) -> DataFrame:
@@ -69,21 +70,29 @@ def query(spark: SparkSession, sql: str, params: dict = None, **tables) -> DataF
 
 
 def read_local_range(
-    df: DataFrame, start: str, end: str, ts: str = "Datetime", zone: str = LOCAL_ZONE
+    df: DataFrame,
+    start: str,
+    end: str,
+    ts: str = "Datetime",
+    zone: str = LOCAL_ZONE,
+    unit: str = "DAY",
 ) -> DataFrame:
     """Rows between two local times, both included, with the time in local zone.
 
-    The bounds are converted, not the column, so the filter reaches the scan and prunes
-    partitions of a table that has `ts` in UTC.
+    The bounds are converted, not the column, so the filter reaches the scan. A table with
+    storage partitions (`part`, by `unit` of the UTC time) reads only those of the range.
     """
     if start > end:
         raise ValueError(f"start {start} is after end {end}")
     low = F.to_utc_timestamp(F.lit(start).cast("timestamp"), zone)
     high = F.to_utc_timestamp(F.lit(end).cast("timestamp"), zone)
-    rest = [c for c in df.columns if c != ts]
-    return df.where(F.col(ts).between(low, high)).select(
-        F.from_utc_timestamp(ts, zone).alias(ts), *rest
-    )
+    kept = df.where(F.col(ts).between(low, high))
+    if "part" in df.columns:
+        kept = kept.where(
+            F.col("part").between(partition_name(low, unit), partition_name(high, unit))
+        )
+    rest = [c for c in df.columns if c not in (ts, "part")]
+    return kept.select(F.from_utc_timestamp(ts, zone).alias(ts), *rest)
 
 
 def weather_rows(payload: DataFrame, column: str = "body", keep=("site",)) -> DataFrame:

@@ -27,13 +27,17 @@ def write_table(df: DataFrame, name: str, if_exists: str = "append") -> None:
     df.write.mode(modes[if_exists]).saveAsTable(name)
 
 
-def with_partition(df: DataFrame, ts: str, unit: str) -> DataFrame:
-    """Add the storage partition `part` of a UTC time: its day, hour or month."""
+def partition_name(ts, unit: str):
+    """Storage partition of a UTC time: its day, hour or month as text that sorts by time."""
     if unit not in PARTITION_UNITS:
         raise ValueError(f"partition unit must be one of {list(PARTITION_UNITS)}, got {unit}")
     start = F.date_trunc(PARTITION_UNITS[unit], ts)
-    text = F.date_format(start, "yyyy-MM-dd-HH" if unit == "HOUR" else "yyyy-MM-dd")
-    return df.withColumn("part", text)
+    return F.date_format(start, "yyyy-MM-dd-HH" if unit == "HOUR" else "yyyy-MM-dd")
+
+
+def with_partition(df: DataFrame, ts: str, unit: str) -> DataFrame:
+    """Add the storage partition `part` of the UTC time `ts`."""
+    return df.withColumn("part", partition_name(F.col(ts), unit))
 
 
 def write_partitioned(
