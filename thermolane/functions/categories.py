@@ -7,8 +7,14 @@ from pyspark.sql import Column, functions as F, types as T
 from thermolane.constants import ALLOWED_MODES, CATEGORY_CODES, DEFAULT_CODES
 
 
+def _sql(value) -> str:
+    if isinstance(value, list):
+        return f"array({', '.join(map(_sql, value))})"
+    return f"'{value}'" if isinstance(value, str) else str(value)
+
+
 def _literal_map(pairs: dict) -> Column:
-    return F.create_map(*[F.lit(v) for v in chain.from_iterable(pairs.items())])
+    return F.expr(f"map({', '.join(_sql(v) for v in chain.from_iterable(pairs.items()))})")
 
 
 def category_key(x: Column) -> Column:
@@ -59,7 +65,7 @@ def candidate_codes(candidates: Column, kind: str, preferred=()) -> Column:
     )
     fallback = [table[p] for p in preferred if p in table] or list(table.values())
     return F.when(F.coalesce(F.size(codes), F.lit(0)) > 0, codes).otherwise(
-        F.array(*[F.lit(c) for c in fallback])
+        F.expr(_sql(fallback))
     )
 
 
@@ -70,12 +76,7 @@ def label_list(text: Column) -> Column:
 
 def allowed_modes(operation_type: Column) -> Column:
     """Modes a pattern may have; null (no filter) for a missing or unknown type."""
-    table = F.create_map(
-        *chain.from_iterable(
-            (F.lit(k), F.array(*[F.lit(m) for m in v])) for k, v in ALLOWED_MODES.items()
-        )
-    )
-    return F.try_element_at(table, category_key(operation_type))
+    return F.try_element_at(_literal_map(ALLOWED_MODES), category_key(operation_type))
 
 
 def target_mode(operation_type: Column) -> Column:
@@ -120,11 +121,11 @@ def weather_weights(hour: Column) -> Column:
     """Weights of temperature and sunshine: temperature only from 17:00 to 06:59."""
     return F.when(
         (hour >= 17) | (hour < 7),
-        F.struct(F.lit(1.0).alias("temperature"), F.lit(0.0).alias("solar")),
-    ).otherwise(F.struct(F.lit(0.7).alias("temperature"), F.lit(0.3).alias("solar")))
+        F.expr("named_struct('temperature', 1.0D, 'solar', 0.0D)"),
+    ).otherwise(F.expr("named_struct('temperature', 0.7D, 'solar', 0.3D)"))
 
 
 def codes_are_defined(codes: Column, kind: str) -> Column:
     """True when a set of codes holds defined codes only."""
-    known = F.array(*[F.lit(c) for c in CATEGORY_CODES[kind].values()])
+    known = F.expr(_sql(list(CATEGORY_CODES[kind].values())))
     return F.size(F.array_except(codes.cast(T.ArrayType(T.IntegerType())), known)) == 0

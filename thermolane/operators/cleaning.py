@@ -56,10 +56,8 @@ def add_total_kwh(df: DataFrame) -> DataFrame:
 def valid_patterns(features: DataFrame) -> DataFrame:
     """Hours that can serve as a pattern: known weather and room, and power drawn."""
     return features.where(
-        F.col("indoor_temp").isNotNull()
-        & (F.col("adjusted_power") > 0)
-        & F.col("outdoor_temp").isNotNull()
-        & F.col("solar_radiation").isNotNull()
+        "indoor_temp IS NOT NULL AND adjusted_power > 0 "
+        "AND outdoor_temp IS NOT NULL AND solar_radiation IS NOT NULL"
     )
 
 

@@ -28,7 +28,7 @@ CASE = ["site", "zone", "fc_date"]
 
 
 def with_day_and_hour(df: DataFrame, date: str = "date") -> DataFrame:
-    return df.withColumn(date, F.to_date("ts")).withColumn("hour", F.hour("ts"))
+    return df.withColumns({date: F.to_date("ts"), "hour": F.hour("ts")})
 
 
 def daily_weather(history: DataFrame) -> DataFrame:
@@ -39,11 +39,11 @@ def daily_weather(history: DataFrame) -> DataFrame:
         steady_mean(F.col("solar_radiation"), MEAN2_DIGITS).alias("solar"),
         F.collect_set("mode").alias("modes"),
     )
+    spread = {}
     for c in ("temp", "solar"):
-        daily = daily.withColumn(f"{c}_mean", F.avg(c).over(zone)).withColumn(
-            f"{c}_sd", F.stddev_samp(c).over(zone)
-        )
-    return daily
+        spread[f"{c}_mean"] = F.avg(c).over(zone)
+        spread[f"{c}_sd"] = F.stddev_samp(c).over(zone)
+    return daily.withColumns(spread)
 
 
 def forecast_days(forecast: DataFrame) -> DataFrame:
@@ -101,9 +101,8 @@ def with_operation_type(candidates: DataFrame, operation_types: DataFrame) -> Da
             [*ZONE, "month"],
             "left",
         ).drop("month")
-    return typed.withColumn("allowed", cat.allowed_modes(F.col("operation_type"))).withColumn(
-        "target", cat.target_mode(F.col("operation_type"))
-    )
+    kind = F.col("operation_type")
+    return typed.withColumns({"allowed": cat.allowed_modes(kind), "target": cat.target_mode(kind)})
 
 
 def days_of_allowed_mode(candidates: DataFrame) -> DataFrame:
@@ -112,15 +111,13 @@ def days_of_allowed_mode(candidates: DataFrame) -> DataFrame:
     return (
         candidates.withColumn("__fits", fits)
         .withColumn("__any", F.max("__fits").over(Window.partitionBy(*CASE)))
-        .where(F.col("allowed").isNull() | F.col("__fits") | ~F.col("__any"))
+        .where("allowed IS NULL OR __fits OR NOT __any")
         .drop("__fits", "__any")
     )
 
 
 def mode_is_allowed():
-    return F.col("allowed").isNull() | F.coalesce(
-        F.array_contains("allowed", F.col("mode")), F.lit(False)
-    )
+    return F.expr("allowed IS NULL OR array_contains(allowed, mode)")
 
 
 def candidate_hours(history: DataFrame, candidates: DataFrame, days: DataFrame) -> DataFrame:
@@ -134,7 +131,7 @@ def candidate_hours(history: DataFrame, candidates: DataFrame, days: DataFrame)
     rows = (
         wanted.drop("modes", "score")
         .join(history, [*ZONE, "date"])
-        .where(F.getbit(F.col("fc_hours").cast("long"), F.col("hour")) == 1)
+        .where("getbit(CAST(fc_hours AS BIGINT), hour) = 1")
     )
     day = Window.partitionBy(*CASE, "date")
     required = popcount(F.col("fc_hours"))

@@ -12,13 +12,13 @@ ZONE_KEYS = ["site", "zone"]
 def _code_counts(column: str):
     """One counter per code of a category; counters sum, so they combine map-side."""
     return [
-        F.count_if(F.col(column) == code).alias(f"{column}_{code}")
+        F.expr(f"count_if({column} = {code}) AS {column}_{code}")
         for code in CATEGORY_CODES[column].values()
     ]
 
 
 def _summed_counts(column: str):
-    return [F.sum(n).alias(n) for n in _count_names(column)]
+    return [F.expr(f"sum({n}) AS {n}") for n in _count_names(column)]
 
 
 def _count_names(column: str):
@@ -29,7 +29,7 @@ def _commonest_code(column: str):
     """Code with the highest counter, the lowest code on ties, null when nothing was counted."""
     counts = F.array(*_count_names(column))
     top = F.array_max(counts)
-    codes = F.array(*[F.lit(c) for c in CATEGORY_CODES[column].values()])
+    codes = F.expr(f"array({', '.join(str(c) for c in CATEGORY_CODES[column].values())})")
     return F.when(top > 0, F.element_at(codes, F.array_position(counts, top).cast("int"))).alias(
         column
     )
@@ -141,11 +141,9 @@ def zones_without_readings(hours: DataFrame, zones: DataFrame, filled: DataFrame
     return hours.join(empty, "site").select(
         *ZONE_KEYS,
         "ts",
-        F.lit(None).cast("double").alias("set_temp"),
-        F.lit(None).cast("double").alias("indoor_temp"),
-        F.lit(0).alias("units_on"),
-        F.lit(0).alias("mode"),
-        F.lit(0).alias("fan_speed"),
+        F.expr("CAST(NULL AS DOUBLE) AS set_temp"),
+        F.expr("CAST(NULL AS DOUBLE) AS indoor_temp"),
+        *[F.lit(0).alias(c) for c in ("units_on", "mode", "fan_speed")],
     )
 
 
@@ -164,13 +162,14 @@ def with_zone(rows: DataFrame, equipment: DataFrame) -> DataFrame:
 
 def coded(readings: DataFrame, fill_nulls: bool = True) -> DataFrame:
     """Category labels to codes, then the switch to 0/1."""
-    out = readings
-    for c in ("on_off", "mode", "fan_speed"):
-        if c in out.columns:
-            out = out.withColumn(c, cat.category_code(F.col(c), c, fill_nulls))
-    if "on_off" in out.columns:
-        out = out.withColumn("on_off", cat.on_off_flag(F.col("on_off")))
-    return out
+    codes = {
+        c: cat.category_code(F.col(c), c, fill_nulls)
+        for c in ("on_off", "mode", "fan_speed")
+        if c in readings.columns
+    }
+    if "on_off" in codes:
+        codes["on_off"] = (F.coalesce(codes["on_off"], F.lit(0)) > 0).cast("int")
+    return readings.withColumns(codes)
 
 
 def meter_choices(outdoor: DataFrame) -> DataFrame:

@@ -64,13 +64,12 @@ def fan_speed_counts(on: DataFrame) -> DataFrame:
 
 def unit_limits(monthly: DataFrame) -> DataFrame:
     """mean - sd and mean + sd of set point and room, to the nearest half degree."""
-    out = monthly
+    limits = {}
     for v in ("set_temp", "indoor_temp"):
         mean, sd = F.col(f"{v}_mean"), F.col(f"{v}_std")
-        out = out.withColumn(f"{v}_upper", round_to_half(mean + sd)).withColumn(
-            f"{v}_lower", round_to_half(mean - sd)
-        )
-    return out
+        limits[f"{v}_upper"] = round_to_half(mean + sd)
+        limits[f"{v}_lower"] = round_to_half(mean - sd)
+    return monthly.withColumns(limits)
 
 
 def with_area(df: DataFrame, unit_area: DataFrame) -> DataFrame:
@@ -154,9 +153,10 @@ def update_master(master: DataFrame, updates: DataFrame) -> DataFrame:
         F.lit(True).alias("__hit"),
     )
     joined = master.join(new, ["zone", "month_label"], "left")
-    for v in values:
-        old = F.col(v) if v in master.columns else F.lit(None)
-        joined = joined.withColumn(v, F.when(F.col("__hit"), F.col(f"__new_{v}")).otherwise(old))
+    old = {v: F.col(v) if v in master.columns else F.lit(None) for v in values}
+    joined = joined.withColumns(
+        {v: F.when(F.col("__hit"), F.col(f"__new_{v}")).otherwise(old[v]) for v in values}
+    )
     return joined.drop("__hit", *[f"__new_{v}" for v in values])
 
 

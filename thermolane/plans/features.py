@@ -47,10 +47,11 @@ def zone_features(
 def finish(table: DataFrame) -> DataFrame:
     """Lag of the room temperature, then one decimal for temperatures."""
     lagged = ordered.lag_or_self(table, "indoor_temp", ZONE, "ts", "indoor_temp_lag1")
-    for c in ("indoor_temp", "indoor_temp_lag1", "outdoor_temp"):
-        lagged = lagged.withColumn(c, round_half_even(F.col(c), 1))
+    rounded = {
+        c: round_half_even(F.col(c), 1) for c in ("indoor_temp", "indoor_temp_lag1", "outdoor_temp")
+    }
     rest = [c for c in lagged.columns if c not in ("ts", "date")]
-    return lagged.select("ts", "date", *rest)
+    return lagged.withColumns(rounded).select("ts", "date", *rest)
 
 
 def report_order(table: DataFrame, zones=ZONE_ORDER) -> DataFrame:

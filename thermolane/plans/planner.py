@@ -87,13 +87,13 @@ def matched_hours(
     outcome: `success`, `no_pattern`, or `outside_hours` (zone closed at that hour).
     """
     zones = history.select(*ZONE).distinct()
-    hours = matching.with_day_and_hour(forecast, "fc_date").select(
+    hours = forecast.selectExpr(
         "site",
-        "fc_date",
-        "hour",
-        F.col("ts").alias("datetime"),
-        F.col("outdoor_temp").alias("forecast_outdoor_temp"),
-        F.col("solar_radiation").alias("forecast_solar_radiation"),
+        "to_date(ts) AS fc_date",
+        "hour(ts) AS hour",
+        "ts AS datetime",
+        "outdoor_temp AS forecast_outdoor_temp",
+        "solar_radiation AS forecast_solar_radiation",
     )
     joined = zones.join(hours, "site").join(
         patterns, [*ZONE, "fc_date", "hour"], "left"
@@ -117,72 +117,64 @@ def plan_rows(matched: DataFrame, equipment: DataFrame) -> DataFrame:
     capped = matched.where(F.col("outcome") == "success").join(
         unit_counts(equipment), ZONE, "left"
     )
-    units = F.least(
-        F.coalesce(F.col("units_on"), F.lit(0)).cast("int"),
-        F.coalesce("max_units", F.lit(0)),
-    )
+    code = F.coalesce(F.col("mode"), F.lit(0)), F.coalesce(F.col("fan_speed"), F.lit(0))
     return capped.select(
+        "*",
+        F.expr("least(coalesce(units_on, 0), coalesce(max_units, 0))").alias("numb_units_on"),
+        cat.code_label(code[0], "mode").alias("mode_label"),
+        cat.code_label(code[1], "fan_speed").alias("fan_label"),
+    ).selectExpr(
         "datetime",
         *ZONE,
         "set_temp",
-        cat.code_label(F.coalesce(F.col("mode"), F.lit(0)), "mode").alias("mode"),
-        cat.code_label(F.coalesce(F.col("fan_speed"), F.lit(0)), "fan_speed").alias("fan_speed"),
-        units.alias("numb_units_on"),
-        cat.units_label(units).alias("ac_on_off"),
-        F.col("adjusted_power").alias("power"),
+        "mode_label AS mode",
+        "fan_label AS fan_speed",
+        "numb_units_on",
+        "CASE WHEN numb_units_on > 0 THEN 'ON' ELSE 'OFF' END AS ac_on_off",
+        "adjusted_power AS power",
         "indoor_temp",
-        F.col("hist_ts").alias("hist_datetime_used"),
+        "hist_ts AS hist_datetime_used",
         "forecast_outdoor_temp",
         "forecast_solar_radiation",
-        F.col("outdoor_temp").alias("hist_outdoor_temp"),
-        F.col("solar_radiation").alias("hist_solar_radiation"),
-        F.col("indoor_temp").alias("hist_indoor_temp"),
+        "outdoor_temp AS hist_outdoor_temp",
+        "solar_radiation AS hist_solar_radiation",
+        "indoor_temp AS hist_indoor_temp",
     )
 
 
 def null_rows(plan: DataFrame, zones: DataFrame, outside: DataFrame) -> DataFrame:
     """Rows with null settings for forecast hours outside the planned range."""
     rows = zones.join(
-        outside.select(
+        outside.selectExpr(
             "site",
-            F.col("ts").alias("datetime"),
-            F.col("outdoor_temp").alias("forecast_outdoor_temp"),
-            F.col("solar_radiation").alias("forecast_solar_radiation"),
+            "ts AS datetime",
+            "outdoor_temp AS forecast_outdoor_temp",
+            "solar_radiation AS forecast_solar_radiation",
         ),
         "site",
     )
     have = set(rows.columns)
-    return rows.select(
+    return rows.selectExpr(
         *[
-            F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in plan.schema
+            c if c in have else f"CAST(NULL AS {kind}) AS {c}"
+            for c, kind in plan.dtypes
         ]
     )
 
 
 def needs_fix():
     """Cooling or heating while no unit runs."""
-    off = (
-        (F.col("ac_on_off") == "OFF")
-        | (F.col("numb_units_on") == 0)
-        | F.col("numb_units_on").isNull()
+    return F.expr(
+        "coalesce(mode IN ('COOL', 'HEAT') "
+        "AND (ac_on_off = 'OFF' OR numb_units_on = 0 OR numb_units_on IS NULL), false)"
     )
-    return F.coalesce(F.col("mode").isin("COOL", "HEAT") & off, F.lit(False))
 
 
 def fix_idle_modes(plan: DataFrame) -> DataFrame:
     """Cooling or heating without a running unit becomes fan, automatic, no power."""
     bad = needs_fix()
-    return plan.select(
-        *[
-            {
-                "mode": F.when(bad, "FAN").otherwise(F.col("mode")).alias("mode"),
-                "fan_speed": F.when(bad, "AUTO").otherwise(F.col("fan_speed")).alias("fan_speed"),
-                "power": F.when(bad, 0.0).otherwise(F.col("power")).alias("power"),
-            }.get(c, F.col(c))
-            for c in plan.columns
-        ]
-    )
+    new = {"mode": "FAN", "fan_speed": "AUTO", "power": 0.0}
+    return plan.withColumns({c: F.when(bad, v).otherwise(F.col(c)) for c, v in new.items()})
 
 
 def correction_counts(plan: DataFrame) -> DataFrame:
