@@ -59,6 +59,12 @@ def test_labels_candidates_and_allowed_modes(frame):
     assert got == [("LOW", [1], [1, 3], 1), ("9", [3], None, None)]
 
 
+def test_label_list_and_flags(frame):
+    df = frame("t string, x string", ("Low, High ,", "2"), (None, "x"))
+    got = rows(df.select(cat.label_list(F.col("t")), cat.on_off_flag(F.col("x"))))
+    assert got == [(["Low", "High", ""], 1), (None, 0)]
+
+
 def test_status_and_effective_on(frame):
     df = frame("u int, m int, s string", (0, 1, "ON"), (2, 1, "on"), (1, 0, "1"), (1, 2, None))
     got = rows(

@@ -142,6 +142,12 @@ def test_wide_and_back_is_the_same_plan(frame, forecast, equipment):
     assert sorted(map(str, back.collect())) == sorted(map(str, plan.collect()))
 
 
+def test_plan_order(frame):
+    df = frame("site string, datetime timestamp, zone string", ("S", "2024-02-01 09:00:00", "Area 1"),
+               ("S", "2024-02-01 08:00:00", "new"), ("S", "2024-02-01 08:00:00", "Area 3"), ("S", "2024-02-01 08:00:00", "Area2_1"))
+    assert [r.zone for r in planner.in_plan_order(df).collect()] == ["Area2_1", "Area 3", "new", "Area 1"]
+
+
 def test_unit_plan(frame):
     plan = frame("site string, datetime timestamp, zone string, ac_on_off string, mode string, set_temp double, fan_speed string",
                  ("S", "2024-02-01 08:00:00", "Area 1", "ON", "COOL", 22.0, "LOW"),

@@ -107,6 +107,14 @@ def test_upsert_keeps_copies_inside_a_batch(spark, frame, tmp_path):
     assert rows(writers.read_upserted(spark, path).select("v")) == [(2,), (2,)]
 
 
+def test_upsert_keeps_columns_a_batch_lacks(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    wide = frame("unit string, ts timestamp, v int, w int", ("a", "2024-01-01", 1, 7), ("b", "2024-01-01", 1, 8))
+    writers.upsert(wide, path, KEYS, "ts")
+    writers.upsert(batch(frame, ("a", "2024-01-01", 2)), path, KEYS, "ts")
+    assert rows(writers.read_upserted(spark, path).select("unit", "v", "w"), "unit") == [("a", 2, None), ("b", 1, 8)]
+
+
 def test_early_local_hours_are_replaced(spark, tmp_path):
     """00:00-08:59 local time falls on the previous UTC day; loading twice must not double it."""
     folder = tmp_path / "in"

@@ -203,6 +203,13 @@ def run_statistics(matched: DataFrame) -> DataFrame:
     )
 
 
+def in_plan_order(plan: DataFrame, zones=C.ZONE_ORDER) -> DataFrame:
+    """Plan rows by time, then zone in report order (unknown zones last)."""
+    place = F.array_position(F.array(*[F.lit(z) for z in zones]), F.col("zone"))
+    rank = F.when(place > 0, place).otherwise(len(zones) + 1)
+    return plan.orderBy("site", "datetime", rank, "zone")
+
+
 def plan_zones(
     features: DataFrame,
     forecast: DataFrame,

@@ -1,6 +1,7 @@
 """Sinks: CSV, tables, partitioned storage, upsert by keys, and plan outputs."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 PARTITION_UNITS = {"DAY": "day", "HOUR": "hour", "MONTH": "month"}
 
@@ -89,12 +90,7 @@ def upsert(batch: DataFrame, path: str, keys, ts: str, unit: str = "DAY") -> Non
         write_partitioned(batch, path, ts, unit, [k for k in keys if k != ts])
         return
     touched = [r.part for r in parts.select("part").distinct().collect()]
-    target = (
-        spark.read.option("basePath", path)
-        .schema(parts.schema)
-        .parquet(path)
-        .where(F.col("part").isin(touched))
-    )
+    target = read_stored(spark, path).where(F.col("part").isin(touched))
     merged = merged_rows(target, parts, keys)
     (
         _balanced(merged, [k for k in keys if k != ts])
@@ -105,12 +101,16 @@ def upsert(batch: DataFrame, path: str, keys, ts: str, unit: str = "DAY") -> Non
     )
 
 
-def read_upserted(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.parquet(path)
-    return df.drop("part") if "part" in df.columns else df
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """The stored table with all its columns; `part` stays text, so equal names compare equal."""
+    stored = spark.read.parquet(path).schema
+    fields = [f for f in stored.fields if f.name != "part"]
+    schema = StructType([*fields, StructField("part", StringType())])
+    return spark.read.schema(schema).parquet(path)
+
+
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    return read_stored(spark, path).drop("part")
 
 
 def write_plans(zone_wide: DataFrame, zone_long: DataFrame, units: DataFrame, path: str, run_id: str):
