@@ -44,12 +44,12 @@ def test_last_value_per_time(frame):
     assert rows(reshape.last_values(df, "x", "unit", ["a", "b"], "n").drop("site")) == [(datetime(2024, 1, 1), 2.0, None)]
 
 
-def test_equipment_nests_and_unnests(frame):
-    df = frame("site string, zone string, outdoor_unit string, load_share double, indoor_unit string",
-               ("S", "z", "1", 0.5, "a"), ("S", "z", "1", 0.5, "b"), ("S", "z", "2", 1.0, "c"))
-    nested = reshape.equipment_nested(df)
-    assert nested.count() == 1
-    assert rows(reshape.equipment_rows(nested).select(*df.columns), "indoor_unit") == rows(df, "indoor_unit")
+def test_nested_equipment_becomes_rows(spark):
+    nested = spark.sql("""SELECT 'S' AS site, 'z' AS zone, map(
+        '1', named_struct('load_share', 0.5D, 'indoor_units', array('a', 'b', 'a')),
+        '2', named_struct('load_share', 1.0D, 'indoor_units', array('c'))) AS outdoor_units""")
+    got = rows(reshape.equipment_rows(nested), "indoor_unit")
+    assert got == [("S", "z", "1", 0.5, "a"), ("S", "z", "1", 0.5, "b"), ("S", "z", "2", 1.0, "c")]
 
 
 def test_regression_learns_and_scores(spark):

@@ -36,22 +36,26 @@ def check(df, want, column="x"):
     np.testing.assert_allclose(got.sort_index(), want.sort_index().astype(float), rtol=1e-9)
 
 
+@pytest.mark.parametrize("bucket", ["day", "range"])
 @pytest.mark.parametrize("keys", [["unit"], []])
-def test_interpolation_equals_whole_series(series, keys):
+def test_interpolation_equals_whole_series(series, keys, bucket):
     pdf, df = series
     groups = pdf.groupby("unit").x if keys else None
     want = groups.transform(lambda s: s.interpolate("linear")) if keys else pdf.x.interpolate("linear")
     want.index = pdf.id
-    check(ordered.interpolate_linear(df, "x", keys, ["ts"], F.to_date("ts")), want)
+    by = F.to_date("ts") if bucket == "day" else None
+    check(ordered.interpolate_linear(df, "x", keys, ["ts"], by), want)
 
 
+@pytest.mark.parametrize("bucket", ["day", "range"])
 @pytest.mark.parametrize("keys", [["unit"], []])
-def test_conditional_fill_equals_whole_series(series, keys):
+def test_conditional_fill_equals_whole_series(series, keys, bucket):
     pdf, df = series
     fill = lambda g: g.x.ffill() if (g.off & g.x.isna()).any() else g.x
     want = pd.concat([fill(g) for _, g in pdf.groupby("unit")]) if keys else fill(pdf)
     want = want.rename(index=pdf.id)
-    check(ordered.fill_forward_when(df, ["x"], F.col("off"), keys, ["ts"], F.to_date("ts")), want)
+    by = F.to_date("ts") if bucket == "day" else None
+    check(ordered.fill_forward_when(df, ["x"], F.col("off"), keys, ["ts"], by), want)
 
 
 def test_fill_leaves_series_without_trigger(frame):
@@ -67,7 +71,7 @@ def test_positions_and_split(series):
     pdf, df = series
     got = ordered.row_positions(df, [], ["ts"], F.to_date("ts")).toPandas().sort_values("ts")
     assert list(got.pos) == list(range(1, len(pdf) + 1))
-    split = ordered.chronological_split(df, ["ts"], F.to_date("ts")).toPandas().sort_values("ts")
+    split = ordered.chronological_split(df, ["ts"]).toPandas().sort_values("ts")
     assert list(split.is_train) == [True] * 720 + [False] * 180
 
 
@@ -95,3 +99,19 @@ def test_lag_takes_itself_at_the_start(frame):
     df = frame("z string, ts int, x double", ("a", 1, 5.0), ("a", 2, None), ("a", 3, 7.0))
     got = rows(ordered.lag_or_self(df, "x", ["z"], "ts", "l").select("ts", "l"), "ts")
     assert got == [(1, 5.0), (2, 5.0), (3, 7.0)]
+
+
+def test_ranges_split_one_hot_key_at_one_time(spark):
+    """All rows share unit and time; the ranges still cut them into tasks of like size."""
+    df = spark.range(40000).select(F.lit("u").alias("unit"), F.lit(0).alias("ts"), "id",
+                                   F.when(F.col("id") % 9000 == 5, F.col("id").cast("double")).alias("x"))
+    out = ordered.interpolate_linear(df, "x", ["unit"], ["ts", "id"])
+    assert out.where("id >= 5 AND id <= 36005 AND abs(x - id) > 1e-6").count() == 0
+    assert out.where("x IS NULL").count() == 5 and out.where("id > 36005 AND x <> 36005").count() == 0
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranged = ordered.with_buckets(df, ["unit"], ["ts", "id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = ranged.groupBy("__bucket").count().toPandas()["count"]
+    assert len(sizes) > 4 and sizes.max() < 2 * sizes.mean()

@@ -126,7 +126,7 @@ SELECT site, date_trunc('hour', ts) AS ts, """ + ", ".join(
 ) + " FROM readings WHERE indoor_temp IS NOT NULL GROUP BY 1, 2"
 
 QUERIES["chronological_split"] = lambda s, d: ordered.chronological_split(
-    V.readings(s, d).select("event_id", "ts", "unit"), ["ts", "event_id"], F.to_date("ts")
+    V.readings(s, d).select("event_id", "ts", "unit"), ["ts", "event_id"]
 )
 SQL["chronological_split"] = "WITH " + V.READINGS_SQL.lstrip() + """
 SELECT event_id, ts, unit, row_number() OVER (ORDER BY ts, event_id)
@@ -172,7 +172,7 @@ def _training(spark, d):
     rows = plan.features_and_targets(
         _inputs(spark, d).join(weather, ["site", "ts"], "left"), _targets(spark, d)
     )
-    split = ordered.chronological_split(rows, ["ts", "site"], F.to_date("ts"))
+    split = ordered.chronological_split(rows, ["ts", "site"])
     return stage(split, "training")
 
 

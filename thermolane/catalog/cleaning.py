@@ -45,9 +45,7 @@ SELECT * FROM a WHERE abs(l_quantity - (SELECT avg(l_quantity) FROM a))
 
 def _interpolated(spark, d, keys):
     rows = V.readings(spark, d).select("event_id", "ts", "unit", "indoor_temp")
-    out = ordered.interpolate_linear(
-        rows, "indoor_temp", keys, ["ts", "event_id"], F.to_date("ts")
-    )
+    out = ordered.interpolate_linear(rows, "indoor_temp", keys, ["ts", "event_id"])
     return out.withColumn("indoor_temp", F.rint(F.col("indoor_temp") * 1e8) / 1e8)
 
 
@@ -80,7 +78,6 @@ QUERIES["conditional_ffill"] = lambda s, d: ordered.fill_forward_when(
     F.col("on_off") == "OFF",
     ["unit"],
     ["ts", "event_id"],
-    F.to_date("ts"),
 )
 SQL["conditional_ffill"] = _R + """
 SELECT event_id, ts, unit, on_off,

@@ -319,8 +319,8 @@ FROM readings"""
 
 
 def _weather_json(spark, d):
-    """Weather documents rebuilt from hourly weather: one per site and hour."""
-    w = V.events(spark, d).select("site", "ts", "value", "k", "event_id")
+    """Weather documents rebuilt from events: one document with one hour per event."""
+    w = V.events(spark, d)
     fields = [
         F.date_format("ts", "HH:mm:ss.SSSSSS").alias("datetime"),
         F.when(F.col("k") % 11 != 0, F.col("value")).alias("temp"),
@@ -331,16 +331,9 @@ def _weather_json(spark, d):
         F.struct(*fields, solar.alias("solarradiation")), {"ignoreNullFields": "false"}
     )
     hour = F.when(F.col("k") % 4 == 0, F.to_json(F.struct(*fields))).otherwise(with_solar)
-    daily = w.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).withColumn("h", F.hour("ts"))
-    docs = daily.groupBy("site", "day", "h").agg(
-        F.array_join(F.collect_list(hour), ",").alias("body")
-    )
-    return docs.select(
-        "site",
-        F.concat(
-            F.lit('{"days": [{"datetime": "'), "day", F.lit('", "hours": ['), "body", F.lit("]}]}")
-        ).alias("body"),
-    )
+    head, middle, tail = (F.lit(x) for x in ('{"days": [{"datetime": "', '", "hours": [', "]}]}"))
+    day = F.date_format("ts", "yyyy-MM-dd")
+    return w.select("site", F.concat(head, day, middle, hour, tail).alias("body"))
 
 
 QUERIES["weather_json_flatten"] = lambda s, d: readers.weather_rows(_weather_json(s, d))

@@ -26,9 +26,19 @@ split AS (
 )"""
 SQL["equipment_split"] = _SPLIT_SQL + " SELECT * FROM split WHERE zone IS NOT NULL"
 
-QUERIES["master_explode"] = lambda s, d: reshape.equipment_rows(
-    reshape.equipment_nested(master.equipment(V.master_units(s, d), **SPLIT))
-)
+
+def _nested(spark, d):
+    """Equipment as nested values: zone -> {outdoor unit -> (load share, [indoor unit])}."""
+    return master.equipment(V.master_units(spark, d), **SPLIT).select(
+        "site",
+        "zone",
+        F.create_map(
+            "outdoor_unit", F.struct("load_share", F.array("indoor_unit").alias("indoor_units"))
+        ).alias("outdoor_units"),
+    )
+
+
+QUERIES["master_explode"] = lambda s, d: reshape.equipment_rows(_nested(s, d))
 SQL["master_explode"] = SQL["equipment_split"]
 
 QUERIES["unit_cap"] = lambda s, d: master.unit_counts(

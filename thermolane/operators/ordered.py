@@ -4,6 +4,11 @@ A plain window over `partitionBy(unit)` puts a whole unit in one task, and one u
 a third of all readings. The functions here split a series into time buckets, work inside
 each (key, bucket) in parallel, and pass what crosses a bucket edge through a summary with
 one row per (key, bucket). The answer is the one the unsplit window gives.
+
+`order` must be a full order of the rows of a key. `bucket` must rise with it. Without a
+bucket the rows are cut into ranges of about equal size, so that no key, no time and no group
+of copies can make a task large; that takes one more shuffle. Pass a time bucket where its
+size is known, such as the day of de-duplicated readings (1,440 minutes per unit).
 """
 
 from functools import reduce
@@ -11,18 +16,34 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from thermolane.sources.staging import stage
+
 _BUCKET = "__bucket"
 
 
-def _edges(df: DataFrame, keys, order, bucket: Column, value: str):
+def with_buckets(df: DataFrame, keys, order, bucket: Column = None) -> DataFrame:
+    """Add the bucket column: the given expression, or balanced ranges of (keys, order).
+
+    Range limits come from a sample, so the ranged rows are stored: every later reader sees
+    the same buckets, also after a lost executor.
+    """
+    if bucket is not None:
+        return df.withColumn(_BUCKET, bucket)
+    ranged = df.repartitionByRange(*keys, *order).withColumn(_BUCKET, F.spark_partition_id())
+    return stage(ranged, "ranges")
+
+
+def _edges(bucketed: DataFrame, keys, order, value: str):
     """Rows with their place in the bucket and nearest values there, and the bucket summary."""
     here = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
+    # Looking ahead is looking back in reverse order: a frame that ends at the last row would
+    # be scanned again for every row.
+    back = Window.partitionBy(*keys, _BUCKET).orderBy(F.col("__place").desc())
     reading = F.when(
         F.col(value).isNotNull(), F.struct(F.col("__place"), F.col(value).alias("v"))
     )
     rows = (
-        df.withColumn(_BUCKET, bucket)
-        .withColumn("__place", F.row_number().over(here).cast("long"))
+        bucketed.withColumn("__place", F.row_number().over(here).cast("long"))
         .withColumn(
             "__prev",
             F.last(reading, ignorenulls=True).over(
@@ -31,8 +52,8 @@ def _edges(df: DataFrame, keys, order, bucket: Column, value: str):
         )
         .withColumn(
             "__next",
-            F.first(reading, ignorenulls=True).over(
-                here.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+            F.last(reading, ignorenulls=True).over(
+                back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
             ),
         )
     )
@@ -48,7 +69,11 @@ def _carry(summary: DataFrame, keys) -> DataFrame:
     """Offset of each bucket, the last value before it and the first value after it."""
     line = Window.partitionBy(*keys).orderBy(_BUCKET)
     before = line.rowsBetween(Window.unboundedPreceding, -1)
-    after = line.rowsBetween(1, Window.unboundedFollowing)
+    after = (
+        Window.partitionBy(*keys)
+        .orderBy(F.col(_BUCKET).desc())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
 
     def shifted(edge):
         return F.when(
@@ -62,7 +87,7 @@ def _carry(summary: DataFrame, keys) -> DataFrame:
     return (
         summary.withColumn("__offset", F.coalesce(F.sum("__n").over(before), F.lit(0)))
         .withColumn("__before", F.last(shifted("__last"), ignorenulls=True).over(before))
-        .withColumn("__after", F.first(shifted("__first"), ignorenulls=True).over(after))
+        .withColumn("__after", F.last(shifted("__first"), ignorenulls=True).over(after))
         .select(*keys, _BUCKET, "__offset", "__before", "__after")
     )
 
@@ -76,14 +101,14 @@ def _join_buckets(rows: DataFrame, summary: DataFrame, keys) -> DataFrame:
 
 
 def interpolate_linear(
-    df: DataFrame, value: str, keys, order, bucket: Column
+    df: DataFrame, value: str, keys, order, bucket: Column = None
 ) -> DataFrame:
     """Fill nulls of `value` on the straight line between neighbours, by row position.
 
     Leading nulls stay null and trailing nulls take the last value. `keys=[]` treats the
-    whole frame as one series. `bucket` must rise with `order`.
+    whole frame as one series.
     """
-    rows, summary = _edges(df, keys, order, bucket, value)
+    rows, summary = _edges(with_buckets(df, keys, order, bucket), keys, order, value)
     joined = _join_buckets(rows, _carry(summary, keys), keys)
     place = F.col("__offset") + F.col("__place")
 
@@ -103,14 +128,14 @@ def interpolate_linear(
 
 
 def fill_forward_when(
-    df: DataFrame, values, trigger: Column, keys, order, bucket: Column
+    df: DataFrame, values, trigger: Column, keys, order, bucket: Column = None
 ) -> DataFrame:
     """Forward-fill each of `values` in every series with a null of it where `trigger` holds.
 
     One such cell makes the whole series be filled; a series without one keeps its nulls.
     All columns share one window pass and one summary.
     """
-    marked = df.withColumn(_BUCKET, bucket)
+    marked = with_buckets(df, keys, order, bucket)
     here = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
     so_far = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     place = F.struct(*order)
@@ -136,15 +161,14 @@ def fill_forward_when(
     return joined.select(*[filled(c) if c in values else F.col(c) for c in df.columns])
 
 
-def row_positions(df: DataFrame, keys, order, bucket: Column, name: str = "pos") -> DataFrame:
+def row_positions(
+    df: DataFrame, keys, order, bucket: Column = None, name: str = "pos"
+) -> DataFrame:
     """1-based row number along `order`, without a single-task sort."""
     here = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
-    rows = df.withColumn(_BUCKET, bucket).withColumn(
-        "__place", F.row_number().over(here).cast("long")
-    )
-    sizes = df.withColumn(_BUCKET, bucket).groupBy(*keys, _BUCKET).agg(
-        F.count(F.lit(1)).alias("__n")
-    )
+    bucketed = with_buckets(df, keys, order, bucket)
+    rows = bucketed.withColumn("__place", F.row_number().over(here).cast("long"))
+    sizes = bucketed.groupBy(*keys, _BUCKET).agg(F.count(F.lit(1)).alias("__n"))
     before = (
         Window.partitionBy(*keys)
         .orderBy(_BUCKET)
@@ -160,10 +184,10 @@ def row_positions(df: DataFrame, keys, order, bucket: Column, name: str = "pos")
 
 
 def chronological_split(
-    df: DataFrame, order, bucket: Column, share: float = 0.8
+    df: DataFrame, order, bucket: Column = None, share: float = 0.8
 ) -> DataFrame:
     """Add `is_train`: true for the first floor(share * n) rows along `order`."""
-    placed = row_positions(df, [], order, bucket, "__pos")
+    placed = row_positions(df, [], order, bucket, name="__pos")
     size = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     return placed.withColumn("is_train", F.col("__pos") <= F.floor(size * share)).drop("__pos")
 

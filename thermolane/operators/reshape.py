@@ -133,21 +133,6 @@ def equipment_rows(nested: DataFrame) -> DataFrame:
     )
 
 
-def equipment_nested(equipment: DataFrame) -> DataFrame:
-    """The inverse of `equipment_rows`: one map per zone (equipment lists are small)."""
-    per_outdoor = equipment.groupBy("site", "zone", "outdoor_unit").agg(
-        F.struct(
-            F.max("load_share").alias("load_share"),
-            F.sort_array(F.collect_set("indoor_unit")).alias("indoor_units"),
-        ).alias("o")
-    )
-    return per_outdoor.groupBy("site", "zone").agg(
-        F.map_from_entries(
-            F.sort_array(F.collect_list(F.struct("outdoor_unit", "o")))
-        ).alias("outdoor_units")
-    )
-
-
 def columns_without_nulls(df: DataFrame) -> DataFrame:
     """Drop every column that has a null: one aggregate job, then a projection."""
     row = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns]).first()

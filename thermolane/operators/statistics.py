@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from thermolane.functions.numeric import round_half_even, round_to_half, steady, steady_mean
 from thermolane.functions.temporal import month_label
+from thermolane.operators.ordered import row_positions
 
 NO_LABEL = "Unknown"
 DEFAULT_SPEED = "Low"
@@ -89,18 +90,24 @@ def area_limits(limits: DataFrame) -> DataFrame:
 def top_speeds(on: DataFrame, top: int = 3) -> DataFrame:
     """The `top` commonest fan speeds of each unit over all months, ties by name.
 
-    Speeds a unit never used count 0 and can fill a place. Speeds are a handful of labels,
-    so the list of all of them is one small array.
+    Speeds a unit never used count 0 and can fill a place. A unit with fewer than `top`
+    speeds finds its fillers among the first 2 * `top` names, so that short list is enough.
     """
     counts = on.where(F.col("unit").isNotNull()).groupBy("unit", "fan_speed").agg(
         F.count(F.lit(1)).alias("n")
     )
-    speeds = counts.agg(F.sort_array(F.collect_set("fan_speed")).alias("s")).scalar()
-    grid = counts.select("unit").distinct().withColumn("fan_speed", F.explode(speeds))
+    first_names = counts.select("fan_speed").distinct().orderBy("fan_speed").limit(2 * top)
+    fillers = first_names.agg(F.collect_list("fan_speed")).scalar()
+    unused = (
+        counts.select("unit")
+        .distinct()
+        .withColumn("fan_speed", F.explode(fillers))
+        .join(counts, ["unit", "fan_speed"], "left_anti")
+        .withColumn("n", F.lit(0).cast("bigint"))
+    )
     w = Window.partitionBy("unit").orderBy(F.col("n").desc(), "fan_speed")
     return (
-        grid.join(counts, ["unit", "fan_speed"], "left")
-        .withColumn("n", F.coalesce("n", F.lit(0)))
+        counts.unionByName(unused)
         .withColumn("rank", F.row_number().over(w))
         .where(F.col("rank") <= top)
     )
@@ -288,13 +295,14 @@ def distribution(df: DataFrame, keys, value: str, digits: int = 1) -> DataFrame:
 
 
 def label_codes(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Alphabetical codes 0, 1, ... of a category's labels; null -> -1.
-
-    A category has a handful of labels, which one small sorted array holds.
-    """
-    labels = df.agg(F.sort_array(F.collect_set(column)).alias("l")).scalar()
-    place = F.array_position(labels, F.col(column)).cast("int") - 1
-    return df.withColumn(name, F.coalesce(place, F.lit(-1)))
+    """Alphabetical codes 0, 1, ... of a category's labels; null -> -1."""
+    labels = df.where(F.col(column).isNotNull()).select(column).distinct()
+    places = row_positions(labels, [], [column], name="__code")
+    return (
+        df.join(places, column, "left")
+        .withColumn(name, F.coalesce(F.col("__code").cast("int") - 1, F.lit(-1)))
+        .select(*df.columns, name)
+    )
 
 
 def missing_outputs(expected: DataFrame, present: DataFrame, keys) -> DataFrame:
