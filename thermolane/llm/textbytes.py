@@ -88,7 +88,7 @@ def shingles(texts: list[str | None], width: int) -> tuple[np.ndarray, np.ndarra
     return r[new], h[new]
 
 
-def in_pieces(texts: list, most: int = 8 << 20):
+def in_pieces(texts: list, most: int = 2 << 20):
     """Slices of the batch of about ``most`` characters, one text at least."""
     start, size = 0, 0
     for i, t in enumerate(texts):
