@@ -23,6 +23,8 @@ SKETCH_BITS = 20
 CHUNK_BITS = 12
 #: A key of the global order is 5 bits for the frequency class and 58 bits of the fingerprint.
 HASH_BITS = 58
+#: Bits of the filter for documents whose sets are compared: fixed, as it is broadcast.
+FILTER_BITS = 1 << 25
 #: Fragments: 8 for each frequency class.
 FRAGMENT_SHIFT = np.uint64(HASH_BITS - 3)
 #: Shingles whose counter is beyond this are dealt over several groups.
@@ -44,11 +46,7 @@ def _profiles(width: int):
                 row, h = shingles(texts[i:j], width)
                 counts += np.bincount(_bucket(h), minlength=len(counts))
                 n = np.bincount(row, minlength=j - i)
-                marks = []
-                for salt in (1, 2):
-                    total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(h ^ np.uint64(salt * 0x5851F42D4C957F2D)))])
-                    at = np.concatenate([[0], np.cumsum(n)])
-                    marks.append((total[at[1:]] - total[at[:-1]]).view(np.int64))
+                marks = [_mark(h, n, 1), _mark(h, n, 2)]
                 none = pa.nulls(j - i, pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(i, j - i), pa.array(n), pa.array(marks[0]), pa.array(marks[1]),
@@ -84,76 +82,112 @@ def _levels(profiles: DataFrame) -> np.ndarray:
     return out
 
 
-def _ordered(texts, width, levels):
-    """(row, key, size of the row's set, place in it), by row and key."""
+def _mark(h: np.ndarray, n: np.ndarray, salt: int) -> np.ndarray:
+    """A fingerprint of each row's set: the wrapping sum of its shingles' own hashes."""
+    total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(h ^ np.uint64(salt * 0x5851F42D4C957F2D)))])
+    at = np.concatenate([[0], np.cumsum(n)])
+    return (total[at[1:]] - total[at[:-1]]).view(np.int64)
+
+
+def _ordered(texts, width, levels, wanted):
+    """(node of the row, row, key, size of the row's set, place in it), by row and key, of wanted nodes."""
     row, h = shingles(texts, width)
+    node = _mark(h, np.bincount(row, minlength=len(texts)), 1)
+    some = wanted(node)[row]
+    row, h = row[some], h[some]
     level = np.minimum(levels[_bucket(h)], 31).astype(np.uint64)
     key = (level << np.uint64(HASH_BITS)) | (mixed(h) >> np.uint64(64 - HASH_BITS))
     order = np.lexsort((key, row))
     row, key = row[order], key[order]
     n = np.bincount(row, minlength=len(texts))
     place = np.arange(len(row)) - (np.cumsum(n) - n)[row]
-    return row, key, n[row], place
+    return node, row, key, n[row], place
 
 
 def _prefixes(width: int, shared, percent: int):
     def run(batches):
         levels = np.frombuffer(shared.value, np.uint8)
+        seen = np.zeros(0, np.int64)
         for batch in batches:
-            ids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            texts = batch.column(0).to_pylist()
             for i, j in in_pieces(texts):
-                row, key, n, place = _ordered(texts[i:j], width, levels)
+                before = seen
+
+                def first_of_its_set(node, before=before):
+                    """One row of each set in this task: copies add nothing."""
+                    new = np.zeros(len(node), bool)
+                    new[np.unique(node, return_index=True)[1]] = True
+                    return new & ~np.isin(node, before)
+
+                node, row, key, n, place = _ordered(texts[i:j], width, levels, first_of_its_set)
+                seen = np.union1d(seen, node)
                 # Two linked sets share percent of the larger one at least, so also one of the first
                 # n - ceil(percent n) + 1 shingles of each.
                 first = place < n - -(-n * percent // 100) + 1
                 row, key, n, place = row[first], key[first], n[first], place[first]
                 ways = (1 << np.maximum((key >> np.uint64(HASH_BITS)).astype(np.int64), 12)) // GROUP
-                doc = ids[i:j][row]
-                salt = (mixed(doc.astype(np.uint64)) % ways.astype(np.uint64)).astype(np.int64)
+                of = node[row]
+                salt = (mixed(of.view(np.uint64)) % ways.astype(np.uint64)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(salt.astype(np.int32)), pa.array((ways > 1)), pa.array(doc), pa.array(n.astype(np.int32)), pa.array(place.astype(np.int32))],
-                    ["s", "salt", "dealt", "doc_id", "n", "place"],
+                    [pa.array(key.view(np.int64)), pa.array(salt.astype(np.int32)), pa.array((ways > 1)), pa.array(of), pa.array(n.astype(np.int32)), pa.array(place.astype(np.int32))],
+                    ["s", "salt", "dealt", "node", "n", "place"],
                 )
 
     return run
 
 
-def _segments(width: int, shared):
+def _segments(width: int, shared, filled):
     def run(batches):
-        levels = np.frombuffer(shared.value, np.uint8)
+        levels, bits = np.frombuffer(shared.value, np.uint8), np.frombuffer(filled.value, np.uint8)
+
+        def wanted(node):
+            at = (node.view(np.uint64) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+            return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
         for batch in batches:
-            ids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            texts = batch.column(0).to_pylist()
             for i, j in in_pieces(texts):
-                row, key, _, _ = _ordered(texts[i:j], width, levels)
+                node, row, key, _, _ = _ordered(texts[i:j], width, levels, wanted)
                 fragment = (key >> FRAGMENT_SHIFT).astype(np.int64)
-                start = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (fragment[1:] != fragment[:-1])])[: len(row)])
+                edge = (row[1:] != row[:-1]) | (fragment[1:] != fragment[:-1])
+                start = np.flatnonzero(np.concatenate([[True], edge])[: len(row)])
                 offsets = np.concatenate([start, [len(row)]]).astype(np.int32)
                 keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(key.view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[i:j][row[start]]), pa.array(fragment[start].astype(np.int32)), keys],
-                    ["doc_id", "fragment", "keys"],
+                    [pa.array(node[row[start]]), pa.array(fragment[start].astype(np.int32)), keys],
+                    ["node", "fragment", "keys"],
                 )
 
     return run
 
 
-def _linked(pairs: DataFrame, reps: DataFrame, width: int, shared, percent: int) -> DataFrame:
+def _filter_of(nodes: DataFrame) -> bytes:
+    """A bitmap of fixed size with a bit set for each node: no node is missed, a few others pass."""
+    at = nodes.select((F.col("node").bitwiseAND(FILTER_BITS - 1) + 1).alias("at"))
+    parts = at.groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    out = bytearray(FILTER_BITS // 8)
+    for bucket, bits in parts.collect():
+        out[(bucket - 1) * len(bits) : bucket * len(bits)] = bits
+    return bytes(out)
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, width: int, shared, percent: int) -> DataFrame:
     """The pairs (a, b, na, nb) whose partial overlaps, summed over the fragments, suffice."""
     pairs = stage(pairs, "pairs")
     if pairs.isEmpty():
         return pairs.select("a", "b")
-    ids = stage(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair_ids")
-    held = reps.join(ids, "doc_id", "left_semi").select("doc_id", "text")
-    segments = held.mapInArrow(_segments(width, shared), "doc_id long, fragment int, keys array<long>")
-    segments = stage(segments, "segments")
-    left = pairs.join(segments.select(F.col("doc_id").alias("a"), "fragment", F.col("keys").alias("x")), "a")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    filled = texts.sparkSession.sparkContext.broadcast(_filter_of(nodes))
+    segments = texts.mapInArrow(_segments(width, shared, filled), "node long, fragment int, keys array<long>")
+    segments = stage(segments.dropDuplicates(["node", "fragment"]), "segments")
+    left = pairs.join(segments.select(F.col("node").alias("a"), "fragment", F.col("keys").alias("x")), "a")
     both = left.join(
-        segments.select(F.col("doc_id").alias("b"), "fragment", F.col("keys").alias("y")), ["b", "fragment"]
+        segments.select(F.col("node").alias("b"), "fragment", F.col("keys").alias("y")), ["b", "fragment"]
     )
     overlap = both.select("a", "b", "na", "nb", F.size(F.array_intersect("x", "y")).alias("part"))
     links = overlap.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("o"))
     links = stage(links.where(f"100 * o >= {percent} * (na + nb - o)").select("a", "b"), "links")
-    discard(pairs, ids, segments)
+    discard(pairs, segments)
     return links
 
 
@@ -162,16 +196,14 @@ def _candidates(shared_rows: DataFrame, comps: DataFrame, percent: int) -> DataF
 
     Within a shingle, the most common component is compared with all others, not with itself.
     """
-    rows = shared_rows.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "c", F.coalesce("component", "doc_id")
-    )
-    rows = stage(rows.select("s", "doc_id", "n", "place", "c"), "rows")
+    rows = shared_rows.join(comps, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    rows = stage(rows.select("s", "node", "n", "place", "c"), "rows")
     by = rows.groupBy("s", "c").agg(F.count("*").alias("k"))
-    most = by.groupBy("s").agg(F.max_by("c", F.struct("k", F.negative("c"))).alias("most"), F.count("*").alias("parts"))
+    most = by.groupBy("s").agg(F.max_by("c", F.struct("k", "c")).alias("most"), F.count("*").alias("parts"))
     most = stage(most.where("parts > 1").select("s", "most"), "most")
     mixed_rows = stage(rows.join(most, "s"), "mixed")
-    one = mixed_rows.where("c != most").select("s", F.col("doc_id").alias("p"), F.col("n").alias("np"), F.col("place").alias("pp"), F.col("c").alias("cp"))
-    two = mixed_rows.select("s", F.col("doc_id").alias("q"), F.col("n").alias("nq"), F.col("place").alias("pq"), F.col("c").alias("cq"))
+    one = mixed_rows.where("c != most").select("s", F.col("node").alias("p"), F.col("n").alias("np"), F.col("place").alias("pp"), F.col("c").alias("cp"))
+    two = mixed_rows.select("s", F.col("node").alias("q"), F.col("n").alias("nq"), F.col("place").alias("pq"), F.col("c").alias("cq"))
     met = one.join(two, "s").where("cp != cq").where(_may_link("np", "pp", "nq", "pq", percent))
     return met.select(
         F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"),
@@ -212,40 +244,37 @@ def jaccard_components(
     shared = spark.sparkContext.broadcast(_levels(profiles).tobytes())
     sets = profiles.where("chunk is null")
     usable = sets.where("n > 0 and doc_id is not null")
-    classes = usable.groupBy("n", "m1", "m2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    classes = stage(classes, "classes")
-    copies = stage(
-        sets.where("doc_id is not null").join(classes.where("copies > 1"), ["n", "m1", "m2"])
-        .where("doc_id != rep").select("doc_id", "rep").distinct(),
-        "copies",
-    )
-    reps = source.where("doc_id is not null").join(copies.select("doc_id"), "doc_id", "left_anti")
-    prefix = reps.mapInArrow(
-        _prefixes(width, shared, percent), "s long, salt int, dealt boolean, doc_id long, n int, place int"
+    # A node is a set, by the first half of its fingerprint; copies of a set are one node.
+    classes = stage(usable.groupBy(F.col("m1").alias("node")).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies")), "classes")
+    texts = source.where("doc_id is not null").select("text")
+    prefix = texts.mapInArrow(
+        _prefixes(width, shared, percent), "s long, salt int, dealt boolean, node long, n int, place int"
     )
     size = F.count("*").over(Window.partitionBy("s", "salt"))
-    shared_rows = stage(
-        prefix.withColumn("k", size).where("k > 1 or dealt").select("s", "doc_id", "n", "place"), "shared"
-    )
-    # First every document meets the smallest id of its size band that it shares most shingles with.
+    several = prefix.withColumn("k", size).where("k > 1 or dealt").select("s", "node", "n", "place")
+    shared_rows = stage(several.distinct(), "shared")
+    # First every set meets the least node of its size band that it shares most shingles with.
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent)))
     banded = shared_rows.withColumn("band", band)
-    lead = stage(banded.groupBy("s", "band").agg(F.min_by(F.struct("doc_id", "n", "place"), "doc_id").alias("lead")), "lead")
-    near = banded.join(lead, ["s", "band"]).where("doc_id != lead.doc_id").where(
+    lead = stage(banded.groupBy("s", "band").agg(F.min_by(F.struct("node", "n", "place"), "node").alias("lead")), "lead")
+    near = banded.join(lead, ["s", "band"]).where("node != lead.node").where(
         _may_link("n", "place", "lead.n", "lead.place", percent)
     )
-    near = near.groupBy("doc_id", "n", F.col("lead.doc_id").alias("a"), F.col("lead.n").alias("na")).agg(F.count("*").alias("k"))
-    near = near.groupBy(F.col("doc_id").alias("b"), F.col("n").alias("nb")).agg(
-        F.max_by(F.struct("a", "na"), F.struct("k", F.negative("a"))).alias("lead")
+    near = near.groupBy("node", "n", F.col("lead.node").alias("a"), F.col("lead.n").alias("na")).agg(F.count("*").alias("k"))
+    near = near.groupBy(F.col("node").alias("b"), F.col("n").alias("nb")).agg(
+        F.max_by(F.struct("a", "na"), F.struct("k", "a")).alias("lead")
     )
-    first = _linked(near.select("lead.a", "b", "lead.na", "nb"), reps, width, shared, percent)
+    first = _linked(near.select("lead.a", "b", "lead.na", "nb"), texts, width, shared, percent)
     known = stage(connected_components(first), "known")
-    rest = _linked(_candidates(shared_rows, known, percent), reps, width, shared, percent)
-    same = copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    groups = stage(connected_components(first.union(rest).union(same)), "components")
-    counted = classes.select("n", "m1", "m2", F.col("copies").alias("n_copies"))
-    out = sets.join(counted, ["n", "m1", "m2"], "left").join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return out.select(
-        F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_copies", F.lit(1).cast("long")).alias("n_copies"),
-    )
+    rest = _linked(_candidates(shared_rows, known, percent), texts, width, shared, percent)
+    groups = connected_components(first.union(rest))
+    joined = stage(classes.join(groups, "node", "left").withColumn("c", F.coalesce("component", "node")), "joined")
+    lowest = joined.groupBy("c").agg(F.min("rep").alias("component_id"))
+    found = stage(joined.join(lowest, "c").select(F.col("node").alias("m1"), "component_id", "n_copies"), "components")
+    # Rows without a set or an id stand alone; their key is null.
+    key = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("m1"))
+    alone = sets.where(key.isNull()).select("doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("n_copies"))
+    grouped = sets.where(key.isNotNull()).join(found, "m1").select("doc_id", "n", "component_id", "n_copies")
+    return grouped.unionByName(alone).select(
+        F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "n_copies"
+    )
