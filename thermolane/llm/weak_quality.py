@@ -29,8 +29,8 @@ def _share(part, whole):
     return part / F.greatest(whole, F.lit(1))
 
 
-def _counts(text):
-    """What the labellers look at, as one struct."""
+def _counts(text) -> dict:
+    """What the labellers look at: plain columns, as a struct would be unfolded and counted at each use."""
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(x) > 20)
     function_word = r"(?<!\S)(?:" + "|".join(sorted(set(FUNCTION_WORDS))) + r")(?=[\s,.;])"
     count = {
@@ -42,10 +42,8 @@ def _counts(text):
         "function_words": function_word,
         "sentences": r"\p{L}[.?!](?:\s|$)",
     }
-    return F.struct(
-        F.length(text).alias("chars"), F.size(lines).alias("lines"), F.size(F.array_distinct(lines)).alias("unlike"),
-        *[F.regexp_count(text, F.lit(p)).alias(name) for name, p in count.items()],
-    )
+    sizes = {"chars": F.length(text), "lines": F.size(lines), "unlike": F.size(F.array_distinct(lines))}
+    return sizes | {name: F.regexp_count(text, F.lit(p)) for name, p in count.items()}
 
 
 def votes(c) -> dict:
@@ -100,6 +98,16 @@ def fit_labellers(counts: list[tuple], n_labellers: int, rounds: int = 200) -> n
     return good
 
 
+def _with_votes(docs: DataFrame, text) -> DataFrame:
+    """Adds ``__votes``, a struct of each labeller's vote."""
+    counts = _counts(text)
+    counted = docs.withColumns({f"__n_{k}": v for k, v in counts.items()})
+    cast = votes({k: F.col(f"__n_{k}") for k in counts})
+    voted = counted.withColumns({f"__v_{k}": v.cast("int") for k, v in cast.items()})
+    both = voted.withColumn("__votes", F.struct(*[F.col(f"__v_{k}").alias(k) for k in cast]))
+    return both.drop(*[f"__n_{k}" for k in counts], *[f"__v_{k}" for k in cast])
+
+
 def shapes(text):
     """Words with runs of letters and digits folded: ``The***`` becomes ``Aa***``."""
     folded = F.regexp_replace(F.regexp_replace(text, r"\p{Lu}+", "A"), r"[\p{Ll}\p{Lo}\p{Mn}]+", "a")
@@ -122,11 +130,9 @@ def score_documents(
     these names are replaced. Repeated rows are judged alike; an empty table gives an empty result.
     """
     text = F.col(f"`{text_col}`")
-    cast = votes(F.col("__c"))
-    names = list(cast)
     own = ["n_low", "n_good", "posterior", "score", "keep"]
-    voted = docs.drop(*own).withColumn("__c", _counts(text))
-    voted = voted.withColumn("__votes", F.struct(*[v.cast("int").alias(k) for k, v in cast.items()])).drop("__c")
+    voted = _with_votes(docs.drop(*own), text)
+    names = voted.schema["__votes"].dataType.names
     worded = text.isNotNull() & text.rlike(r"\S")
     patterns = voted.where(worded).groupBy("__votes").count()
     # At most 3 ** len(names) rows.
@@ -137,17 +143,21 @@ def score_documents(
     kinds = ", ".join(f"{n} int" for n in names)
     table = spark.createDataFrame(rows, f"{kinds}, posterior double")
     table = F.broadcast(table.select(F.struct(*names).alias("__votes"), "posterior"))
-    judged = voted.join(table, voted["__votes"].eqNullSafe(table["__votes"]), "left").drop(table["__votes"])
+
+    def with_posterior(rows):
+        return rows.join(table, rows["__votes"].eqNullSafe(table["__votes"]), "left").drop(table["__votes"])
+
+    judged = with_posterior(voted)
     hashed = HashingTF(inputCol="__shapes", outputCol="__counts", numFeatures=FEATURES)
     scaled = Normalizer(inputCol="__counts", outputCol="__features", p=2.0)
 
-    pick = stage(
-        voted.where(worded).select(F.xxhash64(text).alias("__h")).distinct().orderBy("__h").limit(train_rows), "picked"
-    )
-    chosen = judged.where(worded).withColumn("__h", F.xxhash64(text)).join(pick, "__h", "left_semi")
+    worded_texts = docs.where(worded).select(text.alias("__t"), F.xxhash64(text).alias("__h"))
+    pick = stage(worded_texts.select("__h").distinct().orderBy("__h").limit(train_rows), "picked")
+    chosen = stage(worded_texts.join(pick, "__h", "left_semi").dropDuplicates(["__h"]), "chosen")
+    chosen = with_posterior(_with_votes(chosen, F.col("__t")))
     training = stage(
-        chosen.dropDuplicates(["__h"]).select(
-            shapes(text).alias("__shapes"), F.when(F.col("posterior") >= 0.5, 1.0).otherwise(0.0).alias("__label"),
+        chosen.select(
+            shapes(F.col("__t")).alias("__shapes"), F.when(F.col("posterior") >= 0.5, 1.0).otherwise(0.0).alias("__label"),
             F.abs(2 * F.col("posterior") - 1).alias("__weight"),
         ),
         "training",
