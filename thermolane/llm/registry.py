@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_stream, decontaminate, embedding_forest, jaccard_join, pii, sharding, suffix_dedup, url_rules, warc, weak_quality
+from . import (
+    bpe_stream,
+    decontaminate,
+    divergence,
+    embedding_forest,
+    jaccard_join,
+    packing,
+    pii,
+    sharding,
+    spelling,
+    suffix_dedup,
+    url_rules,
+    warc,
+    weak_quality,
+)
 
 #: Key of the surrogates in the registered query; a real run passes a secret of its own.
 SURROGATE_KEY = "example-key"
@@ -76,6 +90,18 @@ def op10(spark, sf_dir):
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def op11(spark, sf_dir):
+    return packing.digests(packing.pack(read(spark, sf_dir, "documents"), bpe_stream.load(spark, default_tokenizer())))
+
+
+def op12(spark, sf_dir):
+    return spelling.group_variants(spelling.count_words(read(spark, sf_dir, "documents"), typo_every=199))
+
+
+def op13(spark, sf_dir):
+    return divergence.audit_sources(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_embedding_near_dedup": op1,
@@ -88,6 +114,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_classifier": op8,
         "op9_sharding": op9,
         "op10_suffix_dedup": op10,
+        "op11_packing": op11,
+        "op12_spelling_variants": op12,
+        "op13_source_divergence": op13,
     }
 
 

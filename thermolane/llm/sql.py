@@ -103,11 +103,13 @@ FROM h LEFT JOIN f USING (payload_digest)
 """
 
 #: 3988292384 is the reflected polynomial of CRC-32.
-OP9 = """
-WITH RECURSIVE steps(i, k, v) AS (
+_CRC_TABLE = """steps(i, k, v) AS (
   SELECT i::UBIGINT, 0, i::UBIGINT FROM range(256) t(i)
   UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END FROM steps WHERE k < 8
-), tab AS (SELECT list(v ORDER BY i) AS tab FROM steps WHERE k = 8),
+), tab AS (SELECT list(v ORDER BY i) AS tab FROM steps WHERE k = 8)"""
+
+OP9 = f"""
+WITH RECURSIVE {_CRC_TABLE},
 d AS (
   SELECT doc_id, (strlen(coalesce(text, '')) + 1)::BIGINT AS size,
     list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda p: ('0x' || p)::UBIGINT) AS raw FROM documents
@@ -121,10 +123,74 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTI
   NULL::INTEGER AS grown_shard FROM e
 """
 
+OP12 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')), {_UPPER}) AS run FROM documents
+), occ AS (
+  SELECT run, count(*) AS k, list_transform(regexp_extract_all(hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)), '..'),
+    lambda p: ('0x' || p)::UBIGINT) AS raw FROM runs GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, k, xor(list_reduce(list_concat([4294967295::UBIGINT], raw),
+    lambda crc, x: xor(crc >> 8, tab[(xor(crc, x) & 255)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT AS h FROM occ, tab
+), typed AS (
+  SELECT k, CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed
+), words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM typed WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5
+), places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+cut AS (SELECT word, n, left(word, i - 1) AS a, substr(word, i + 1) AS b FROM places),
+shorter AS (SELECT c.word AS w1, c.n AS n1, w.word AS w2, w.n AS n2 FROM cut c JOIN words w ON w.word = c.a || c.b),
+pairs AS (
+  SELECT x.word AS word, y.word AS other, y.n AS other_n FROM cut x JOIN cut y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT w1, w2, n2 FROM shorter UNION SELECT w2, w1, n1 FROM shorter
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS form, max(other_n) AS form_n FROM pairs GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * w.n THEN form END AS form,
+    CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n FROM words w LEFT JOIN best USING (word)
+), walk(word, tip) AS (
+  SELECT word, word FROM forms
+  UNION ALL SELECT walk.word, forms.form FROM walk JOIN forms ON forms.word = walk.tip WHERE forms.form IS NOT NULL
+)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, walk.tip AS root
+FROM forms f JOIN walk USING (word) JOIN forms e ON e.word = walk.tip WHERE e.form IS NULL
+"""
+
+OP13 = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(coalesce(text, ''), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), terms AS (SELECT d, lang, source, translate(unnest(w), {_UPPER}) AS term FROM docs),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+kept AS (SELECT lang, term, count(*) AS nl FROM terms GROUP BY lang, term HAVING count(DISTINCT d) >= 10),
+counts AS (SELECT lang, source, term, count(*) AS n FROM terms SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, sum(nl) AS tl FROM kept GROUP BY lang),
+totals AS (SELECT lang, source, coalesce(sum(n), 0) AS t FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+shares AS (
+  SELECT totals.lang, totals.source, kept.term, coalesce(n, 0) AS n,
+    (1 + 1000000000::HUGEINT * (coalesce(n, 0) + 2) // (t + 2 * v))::BIGINT AS p,
+    (1 + 1000000000::HUGEINT * (nl + 2) // (tl + 2 * v))::BIGINT AS q
+  FROM totals JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM found
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 ALL = {
     "op1_embedding_near_dedup": OP1,
     "op2_ngram_jaccard_join": OP2,
     "op6_url_filter": _op6(),
     "op7_warc": OP7,
     "op9_sharding": OP9,
+    "op12_spelling_variants": OP12,
+    "op13_source_divergence": OP13,
 }
