@@ -1,6 +1,8 @@
 """Power-of-two packing against the tokenizers library itself."""
 
+import random
 import zlib
+from functools import cache
 
 import numpy as np
 import pytest
@@ -20,13 +22,18 @@ def docs(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, ids string, sequence_id int")
 
 
-def library(text):
+@cache
+def model():
     from tokenizers import Tokenizer
 
-    model = Tokenizer.from_file(default_tokenizer())
-    model.no_padding()
-    model.no_truncation()
-    return [*model.encode(text or "", add_special_tokens=False).ids, 2]
+    out = Tokenizer.from_file(default_tokenizer())
+    out.no_padding()
+    out.no_truncation()
+    return out
+
+
+def library(text):
+    return [*model().encode(text or "", add_special_tokens=False).ids, 2]
 
 
 @pytest.mark.parametrize("longest", [1, 16, 4096])
@@ -72,13 +79,34 @@ def test_no_end_id_no_rows_and_wrong_length(spark, docs):
         packing.pack(docs, tokenizer, longest=1000)
 
 
-def test_memory_of_chunks_is_bounded(monkeypatch):
-    monkeypatch.setattr(packing, "MEMO_SIZE", 3)
+@pytest.fixture(scope="module")
+def content():
     with open(default_tokenizer(), "rb") as f:
-        chunks = packing.Chunks(f.read())
+        return f.read()
+
+
+def test_memory_of_chunks_is_bounded(monkeypatch, content):
+    monkeypatch.setattr(packing, "MEMO_SIZE", 3)
+    chunks = packing.Chunks(content)
     texts = ["alpha beta", "gamma delta epsilon " + "z" * 200, "beta " + "z" * 200 + " zeta", "alpha"]
     for _ in range(3):
         for text in texts:
             ids, counts = chunks.encode([text, ""])
             assert ids.tolist() == library(text)[:-1] and counts.tolist() == [len(ids), 0]
-            assert len(chunks.pool) < 60 and not any(len(c) > packing.MEMO_CHARS for c in chunks.number)
+            assert len(chunks.chunks) <= 3 + 4
+    monkeypatch.setattr(packing, "MEMO_SIZE", 1000)
+    monkeypatch.setattr(packing, "MEMO_CHARS", 100)
+    for text in texts * 2:
+        assert chunks.encode([text])[0].tolist() == library(text)[:-1]
+        assert chunks.held <= 100 + 205
+
+
+def test_chunks_equal_the_library(content):
+    draw = random.Random(5)
+    letters = "aAbBzZ09.,;:!?'\"-<|>_ \n\t\x1c\x85\xa0\u2003éÉßẞΣσςİıﬁ\u0301\u0331\u0307H\u00c5\u212b\u1e9e日本🙂\ud7a3\u1100\u1161"
+    parts = ["don't", "it's,", "<|endoftext|>", "<|ENDOFTEXT|>", "Word.", "word,", "H\u0331.", "ΟΔΟΣ.", "x.y,", "12,", "é,", "ab...", "“quote”,"]
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randrange(40))) for _ in range(1500)]
+    texts += [draw.choice(["", " "]).join(draw.choices(parts, k=draw.randrange(9))) for _ in range(1500)]
+    ids, counts = packing.Chunks(content).encode(texts)
+    want = [library(t)[:-1] for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,12 @@ from pyspark.sql import functions as F
 from .bpe_stream import SPACE, _Handle
 from .textbytes import in_pieces
 
-#: Chunks up to this length are remembered, so many of them at most.
-MEMO_CHARS, MEMO_SIZE = 40, 400_000
+#: Beyond so many characters or chunks remembered, all are forgotten before the next texts.
+MEMO_CHARS, MEMO_SIZE = 16_000_000, 400_000
+#: Words encoded in one call.
+TOGETHER = 2000
+#: Marks that the tokenizer parts from letters before them.
+MARKS = ".,;:!?"
 #: Bits of a sequence number: the length's exponent, the task, the count within task and length.
 TASK_BITS, COUNT_BITS = 25, 33
 #: Pieces in one Arrow batch.
@@ -31,73 +37,135 @@ BATCH_PIECES = 4096
 SCHEMA = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+class Numbers(dict):
+    """Numbers strings in the order in which they are first asked for; ``new`` lists those of late."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+    def of(self, keys, count: int) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, count)
+
+    def taken(self) -> list[str]:
+        new, self.new = self.new, []
+        return new
+
+
 class Chunks:
-    """Ids of white-space separated chunks by the tokenizers library, each distinct chunk encoded once.
+    """Ids of white-space separated chunks by the tokenizers library, each distinct word encoded once.
 
-    The tokenizer file drops white space, so that a text's ids are those of its chunks in turn. Chunks
-    are numbered; ``pool`` holds the ids of all of them, one after the other.
+    The tokenizer file drops white space, so that a text's ids are those of its chunks in turn. It also
+    parts letters from punctuation: a chunk of letters and one mark is encoded as two words, other chunks
+    as one. ``pool`` holds the ids of all words, one after the other; word 0 has none.
     """
 
     def __init__(self, content: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.model = Tokenizer.from_str(content.decode())
         self.model.no_padding()
         self.model.no_truncation()
+        #: For words that the tokenizer's normaliser leaves alone: the same merges without it.
+        self.quick = Tokenizer(self.model.model)
+        self.quick.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.special = [t.content.lower() for t in self.model.get_added_tokens_decoder().values()]
+        suffix = self.model.model.end_of_word_suffix
+        self.ends_word = np.zeros(self.model.get_vocab_size(), bool)
+        if suffix:
+            self.ends_word[[i for t, i in self.model.get_vocab().items() if t.endswith(suffix)]] = True
         self.space = regex.compile(SPACE)
         self.narrow = regex.compile(r"[\x1c-\x1f]")  # white space for str.split, not for the tokenizer
         self._forget()
 
     def _forget(self):
-        self.number: dict[str, int] = {}
-        self.pool, self.first, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.chunks, self.words, self.held = Numbers(), Numbers(), 0
+        self.words[""] = 0
+        self.head, self.mark = np.zeros(0, np.int64), np.zeros(0, np.int64)  # the words of each chunk
+        self.pool, self.first, self.size = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     def split(self, text: str) -> list[str]:
+        """Chunks in lower case, where the tokenizer's own lower-casing gives the same; else as they are."""
+        low = text.lower() if text.isascii() else text.replace("Σ", "σ").lower()
+        plain = text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", low)
+        if plain and not any(s in low for s in self.special):
+            text = low
         if self.narrow.search(text):
             return [c for c in self.space.split(text) if c]
         return text.split()
 
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of normal words of letters, and how many each has, by one call for many words."""
+        ids, ends = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for a in range(0, len(words), TOGETHER):
+            some = words[a : a + TOGETHER]
+            got = np.array(self.quick.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            edges = np.concatenate([[0], np.flatnonzero(self.ends_word[got]) + 1])
+            if len(edges) != len(some) + 1 or edges[-1] != len(got):
+                raise ValueError("this tokenizer does not mark the ends of words")
+            ids.append(got)
+            ends.append(np.diff(edges))
+        return np.concatenate(ids), np.concatenate(ends)
+
+    def _apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())), size
+
+    def _learn(self, chunks: list[str]) -> None:
+        heads, marks = [], []
+        for c in chunks:
+            apart = c[-1] in MARKS and c[:-1].isalpha()
+            heads.append(c[:-1] if apart else c)
+            marks.append(c[-1] if apart else "")
+        self.head = np.concatenate([self.head, self.words.of(heads, len(heads))])
+        self.mark = np.concatenate([self.mark, self.words.of(marks, len(marks))])
+        self.held += sum(map(len, chunks))
+        new = self.words.taken()
+        if not new:
+            return
+        odd = np.fromiter((not (w.isalpha() and w == w.lower() and is_normalized("NFC", w)) for w in new), bool, len(new))
+        order = np.argsort(odd, kind="stable")
+        n = len(new) - int(odd.sum())
+        parts = self._together([new[i] for i in order[:n]]), self._apart([new[i] for i in order[n:]])
+        ids, size = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        sizes, firsts = np.empty_like(size), np.empty_like(size)
+        sizes[order], firsts[order] = size, len(self.pool) + np.cumsum(size) - size
+        self.first, self.size = np.concatenate([self.first, firsts]), np.concatenate([self.size, sizes])
+        self.pool = np.concatenate([self.pool, ids])
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids of each text."""
-        if len(self.number) > MEMO_SIZE:
+        if len(self.chunks) > MEMO_SIZE or self.held > MEMO_CHARS:
             self._forget()
         parts = [self.split(t) for t in texts]
-        number = self.number
-        new = list(dict.fromkeys(c for p in parts for c in p if c not in number))
-        known = len(number)
-        if new:
-            found = [e.ids for e in self.model.encode_batch_fast(new, add_special_tokens=False)]
-            number.update(zip(new, range(known, known + len(new)), strict=True))
-            size = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))
-            self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(size) - size])
-            self.size = np.concatenate([self.size, size])
-            self.pool = np.concatenate([self.pool, flat])
         counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        code = np.fromiter((number[c] for p in parts for c in p), np.int64, int(counts.sum()))
-        size = self.size[code]
+        code = self.chunks.of(chain.from_iterable(parts), int(counts.sum()))
+        if new := self.chunks.taken():
+            self._learn(new)
+        word = np.stack([self.head[code], self.mark[code]], axis=1).ravel()
+        size = self.size[word]
         end = np.cumsum(size)
-        at = np.repeat(self.first[code] - (end - size), size) + np.arange(int(size.sum()))
-        ids = self.pool[at]
-        before = np.concatenate([[0], end])
-        last = np.cumsum(counts)
-        if new and max(map(len, new)) > MEMO_CHARS:  # long chunks are not kept
-            self._keep([c for c in new if len(c) <= MEMO_CHARS], known)
-        return ids, before[last] - before[last - counts]
-
-    def _keep(self, short: list[str], known: int) -> None:
-        """Of the chunks numbered from ``known`` on, only these stay."""
-        old = np.fromiter((self.number[c] for c in short), np.int64, len(short))
-        for chunk in [c for c, k in self.number.items() if k >= known]:
-            del self.number[chunk]
-        self.number.update(zip(short, range(known, known + len(short)), strict=True))
-        base = int(self.first[known]) if known < len(self.first) else len(self.pool)
-        size = self.size[old]
-        flat = [self.pool[self.first[k] : self.first[k] + self.size[k]] for k in old]
-        self.first = np.concatenate([self.first[:known], base + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size[:known], size])
-        self.pool = np.concatenate([self.pool[:base], *flat])
+        at = np.repeat(self.first[word] - (end - size), size) + np.arange(int(size.sum()))
+        before, last = np.concatenate([[0], end]), 2 * np.cumsum(counts)
+        return self.pool[at], before[last] - before[last - 2 * counts]
+
+
+_chunks: dict[int, Chunks] = {}
+
+
+def _loaded(tokenizer: _Handle) -> Chunks:
+    """One per worker process, which keeps what it has learnt from task to task."""
+    if tokenizer.id not in _chunks:
+        _chunks.clear()
+        _chunks[tokenizer.id] = Chunks(tokenizer.value)
+    return _chunks[tokenizer.id]
 
 
 def binary_cuts(tokens: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,7 +208,7 @@ def pack(
     tail = np.array([] if end_id is None else [end_id], np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = Chunks(tokenizer.value)
+        chunks = _loaded(tokenizer)
         task = TaskContext.get().partitionId()
         seen = np.zeros(longest.bit_length(), np.int64)
         for batch in batches:
