@@ -37,7 +37,7 @@ def _csv_parts(spark, d):
     rows = _orders(spark, d)
     for side in (0, 1):
         writers.write_csv(
-            rows.where(F.col("o_custkey") % 2 == side).repartition(3), f"{path}/MASTER_Store{side}.csv"
+            rows.where(F.col("o_custkey") % 2 == side), f"{path}/MASTER_Store{side}.csv"
         )
     return readers.read_csv_folder(spark, path, rows.schema), path, rows.schema
 
@@ -67,6 +67,25 @@ QUERIES["scan_single_csv"] = _scan_one
 SQL["scan_single_csv"] = _ORDERS + " WHERE o_custkey % 2 = 1"
 
 
+def _mixed(spark, d):
+    """Orders landed under three headers: two column orders, and one with a column more."""
+    path = _folder(spark, "mixed")
+    orders = V.table(spark, d, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    plain = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]
+    for k, names in enumerate((plain, plain[::-1], ["o_orderpriority", *plain])):
+        writers.write_csv(orders.where(F.col("o_orderkey") % 3 == k).select(names), f"{path}/in {k}")
+    df = readers.read_csv_folder(spark, path)
+    kinds = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double", "o_orderdate": "timestamp"}
+    return df.select(*[F.col(c).cast(k) for c, k in kinds.items()], "o_orderpriority")
+
+
+QUERIES["scan_mixed_headers"] = _mixed
+SQL["scan_mixed_headers"] = """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
+       CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS o_orderpriority
+FROM orders"""
+
+
 def _facilities(spark, d):
     df = _csv_parts(spark, d)[0]
     files = df.select(F.regexp_extract("source_file", r"(MASTER_[^/]+)/", 1).alias("source_file"))
@@ -149,6 +168,26 @@ SQL["upsert_by_keys"] = """
 SELECT o_orderkey, o_custkey, CASE WHEN o_totalprice > 400000 THEN -o_totalprice ELSE o_totalprice END
   AS o_totalprice, o_orderdate FROM orders"""
 
+def _upsert_new_column(spark, d):
+    """Orders without their priority, then a batch of dear orders that has it."""
+    path = _folder(spark, "upsert")
+    rows = _orders(spark, d)
+    keys = ["o_orderkey", "o_orderdate"]
+    writers.upsert(rows, path, keys, "o_orderdate", "MONTH")
+    batch = V.table(spark, d, "orders").where("o_totalprice > 300000").select(
+        "o_orderpriority", "o_orderkey", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"), "o_totalprice"
+    )
+    for _ in range(2):
+        writers.upsert(batch, path, keys, "o_orderdate", "MONTH")
+    return writers.read_upserted(spark, path).withColumn("o_custkey", F.col("o_custkey").cast("double"))
+
+
+QUERIES["upsert_new_column"] = _upsert_new_column
+SQL["upsert_new_column"] = """
+SELECT o_orderkey, CASE WHEN o_totalprice <= 300000 THEN o_custkey::DOUBLE END AS o_custkey, o_totalprice, o_orderdate,
+       CASE WHEN o_totalprice > 300000 THEN o_orderpriority END AS o_orderpriority
+FROM orders"""
+
 QUERIES["upsert_merge_rows"] = lambda s, d: writers.merged_rows(
     _orders(s, d),
     _orders(s, d).where("o_totalprice > 300000").withColumn("o_custkey", F.lit(-1).cast("bigint")),
@@ -238,12 +277,29 @@ SELECT facility_id, n AS idu_rows, n AS odu_rows, true AS complete FROM n
 UNION ALL SELECT facility_id || '-x', 0, 0, false FROM n"""
 
 
+#: Forms of a time in raw logs, and the unit to which each keeps it.
+_FORMS = [
+    ("yyyy-MM-dd HH:mm:ss.SSSSSS", "microsecond"),
+    ("yyyy/M/d H:mm:ss.SSSSSS", "microsecond"),
+    ("yyyy/M/d h:mm a", "minute"),
+    ("yyyy年M月d日 H時m分s秒", "second"),
+    ("yyyyMMdd HHmmss", "second"),
+    ("M/d/yyyy H:mm:ss", "second"),
+    ("d MMM yyyy HH:mm:ss", "second"),
+    ("MMM d, yyyy HH:mm:ss", "second"),
+    ("yyyy.MM.dd HH:mm:ss", "second"),
+]
+_NO_TIMES = ["not a time", "2024/13/45 10:00", "10:20"]
+
+
 def _raw_control(spark, d):
-    """Raw headings: text times, one in five with an offset, some bad or blank values."""
+    """Raw headings: times as text in many forms, one in five with an offset, some bad or blank."""
     r = V.readings(spark, d)
-    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    n = F.col("event_id") % 5
-    time = F.when(n == 0, F.concat(text, F.lit("+00:00"))).when(n == 1, "not a time").otherwise(text)
+    n, k = F.col("event_id") % 5, (F.col("event_id") % len(_FORMS)).cast("int")
+    text = F.coalesce(*[F.when(k == i, F.date_format("ts", form)) for i, (form, _) in enumerate(_FORMS)])
+    bad = F.element_at(F.array(*map(F.lit, _NO_TIMES)), (F.col("event_id") % 3 + 1).cast("int"))
+    iso = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    time = F.when(n == 0, F.concat(iso, F.lit("+00:00"))).when(n == 1, bad).otherwise(text)
     back = {v: k for k, v in AC_COLUMNS.items()}
     return (
         r.withColumn("unit", F.when(F.col("event_id") % 7 == 3, " ").otherwise(F.col("unit")))
@@ -256,10 +312,11 @@ def _raw_control(spark, d):
 
 
 QUERIES["standardize_raw"] = lambda s, d: ingest.to_warehouse(_raw_control(s, d), "ac_control")
+_UNIT_SQL = f"CASE event_id % {len(_FORMS)} " + " ".join(f"WHEN {i} THEN '{u}'" for i, (_, u) in enumerate(_FORMS)) + " END"
 _STANDARD = "WITH " + V.READINGS_SQL.lstrip() + """,
 std AS (
   SELECT unit AS "AC_Name",
-         CASE WHEN event_id % 5 = 0 THEN ts ELSE ts - INTERVAL 9 HOUR END AS "Datetime",
+         CASE WHEN event_id % 5 = 0 THEN ts ELSE date_trunc(""" + _UNIT_SQL + """, ts) - INTERVAL 9 HOUR END AS "Datetime",
          indoor_temp AS "Indoor_Temp", set_temp AS "AC_Set_Temperature", on_off AS "AC_ON_OFF",
          mode AS "AC_Mode", event_id AS "Site_Energy_Level"
   FROM readings WHERE event_id % 5 <> 1 AND event_id % 7 <> 3
@@ -267,17 +324,22 @@ std AS (
 SQL["standardize_raw"] = _STANDARD + " SELECT * FROM std"
 
 
+QUERIES["standardize_rejects"] = lambda s, d: ingest.rejected_times(_raw_control(s, d))
+SQL["standardize_rejects"] = f"""
+SELECT ({_NO_TIMES})[1 + event_id % 3] AS text, count(*) AS rows FROM events WHERE event_id % 5 = 1 GROUP BY 1"""
+
+
 def _raw_ingest(spark, d):
-    """CSV files landed in folders, loaded twice into the raw tables, and read back."""
+    """CSV files under two headers landed in folders, loaded twice by the job, and read back."""
     path = _folder(spark, "landing")
-    writers.write_csv(
-        _raw_control(spark, d).repartition(2), f"{path}/in/ac-control-files"
-    )
-    raw = readers.read_csv_folder(spark, f"{path}/in")
-    rows = ingest.to_warehouse(raw.drop("source", "source_file"), "ac_control")
+    raw = _raw_control(spark, d)
+    early = F.col("`Site Energy Level`").cast("bigint") % 2 == 0
+    writers.write_csv(raw.where(early), f"{path}/in/ac-control-a")
+    writers.write_csv(raw.where(~early).drop("unwanted").select([f"`{c}`" for c in raw.columns[::-1] if c != "unwanted"]), f"{path}/in/ac-control-b")
+    writers.write_csv(raw.limit(1), f"{path}/in/other")
     for _ in range(2):
-        writers.upsert(rows, f"{path}/ac_control_raw", ["AC_Name", "Datetime"], "Datetime", "DAY")
-    return writers.read_upserted(spark, f"{path}/ac_control_raw")
+        ingest.ingest_folder(spark, f"{path}/in", f"{path}/w")
+    return writers.read_upserted(spark, f"{path}/w/ac_control_raw")
 
 
 QUERIES["raw_ingest"] = _raw_ingest
@@ -357,7 +419,7 @@ SELECT event_id, date_trunc('minute', ts + INTERVAL 9 HOUR) AS local_ts, user_id
 
 def _stream(spark, d):
     schema = V.table(spark, d, "events").schema
-    raw = streaming.read_stream(spark, d, schema, "events.parquet")
+    raw = streaming.read_stream(spark, f"{d}/events.parque[t]", schema)
     return raw.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
@@ -379,6 +441,34 @@ QUERIES["stream_ingest"] = _stream_ingest
 SQL["stream_ingest"] = "SELECT event_id, ts, user_id % 20 AS mesh_id, value FROM events"
 
 
+def _stream_corrections(spark, d):
+    """Events in four files, one a batch: most; corrections; rows that come late; outdated copies."""
+    path = _folder(spark, "stream")
+    e = V.table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    k = F.col("event_id")
+    late, fixed = k % 10 == 3, k % 7 == 0
+    files = [
+        e.where(~late).withColumn("version", F.lit(1)),
+        e.where(fixed).withColumns({"version": F.lit(2), "value": -F.col("value")}),
+        e.where(late).withColumn("version", F.lit(1)),
+        e.where(k % 14 == 0).withColumns({"version": F.lit(0), "value": F.lit(0.0)}),
+    ]
+    for rows in files:
+        rows.write.mode("append").parquet(f"{path}/in")
+        stream = streaming.read_stream(spark, f"{path}/in", rows.schema)
+        q = streaming.ingest_stream(
+            stream, f"{path}/table", f"{path}/checkpoint", ["event_id", "ts"], "ts", newest_by=["version"]
+        )
+        q.awaitTermination()
+    return writers.read_upserted(spark, f"{path}/table")
+
+
+QUERIES["stream_corrections"] = _stream_corrections
+SQL["stream_corrections"] = """
+SELECT event_id, ts, CASE WHEN event_id % 7 = 0 THEN -value ELSE value END AS value,
+       CASE WHEN event_id % 7 = 0 THEN 2 ELSE 1 END AS version FROM events"""
+
+
 def _stream_hourly(spark, d):
     path = _folder(spark, "stream")
     q = streaming.hourly_stream(
@@ -393,4 +483,6 @@ QUERIES["stream_hourly"] = _stream_hourly
 SQL["stream_hourly"] = """
 SELECT user_id % 20 AS mesh_id, date_trunc('hour', ts) AS ts,
        round_even(sum(value) * 1e4, 0) / 1e4 AS value, count(*) AS samples
-FROM events GROUP BY 1, 2"""
+FROM events
+WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR
+GROUP BY 1, 2"""

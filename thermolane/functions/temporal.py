@@ -4,7 +4,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from thermolane.constants import LOCAL_ZONE, TIME_COLUMN_NAMES
 
-_OFFSET_PATTERN = r"(Z|[+-]\d{2}:?\d{2})$"
+_OFFSET_PATTERN = r"(\dZ|(:\d{2}|\.\d+|[T ]\d{4,6})\s*(Z|[+-]\d{2}:?\d{2}))$"
+
+_CLOCK = r"(\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)"
+_ZONE = r"\s*(Z|[+-]\d{2}:?\d{2})?"
+#: Forms of times as text: pattern, and how it is rewritten for the parser.
+TIME_FORMS = {
+    "iso": (r"^(\d{4}-.*)$", "$1"),
+    "year_first": (rf"^(\d{{4}})[/.](\d{{1,2}})[/.](\d{{1,2}})(?:[ T]+{_CLOCK})?{_ZONE}$", "$1-$2-$3 $4$5"),
+    "kanji": (r"^(\d{4})年(\d{1,2})月(\d{1,2})日\s*(?:(\d{1,2})時(?:(\d{1,2})分(?:(\d{1,2})秒)?)?)?$", "$1-$2-$3 0$4:0$5:0$6"),
+    "compact": (rf"^(\d{{4}})(\d{{2}})(\d{{2}})(?:[ T]?(\d{{2}})(\d{{2}})(\d{{2}})?)?{_ZONE}$", "$1-$2-$3 0$4:0$5:0$6$7"),
+    "month_first": (rf"^(\d{{1,2}})/(\d{{1,2}})/(\d{{4}})(?: +{_CLOCK})?{_ZONE}$", "$3-$1-$2 $4$5"),
+    "year": (r"^(\d{4})$", "$1-1-1"),
+    "half_day": (r"^(\d{4})[/.-](\d{1,2})[/.-](\d{1,2}) +(\d{1,2}:\d{2})\s*([AaPp][Mm])$", "$1-$2-$3 $4 $5"),
+    "day_month_name": (rf"^(\d{{1,2}})[ -]([A-Za-z]{{3}})[A-Za-z]*[ -](\d{{4}})(?: +{_CLOCK})?$", "$1 $2 $3 $4"),
+    "month_name_first": (rf"^([A-Za-z]{{3}})[A-Za-z]* (\d{{1,2}}),? (\d{{4}})(?: +{_CLOCK})?$", "$2 $1 $3 $4"),
+}
+#: Formats of rewritten texts that are not ISO.
+_MONTH_NAME, _HALF_DAY = "d MMM y[ H:m[:s]]", "y-M-d h:m a"
 
 
 def time_column(df: DataFrame):
@@ -15,9 +32,48 @@ def time_column(df: DataFrame):
     return next((c for c in df.columns if "datetime" in c.lower()), None)
 
 
+def time_text(df: DataFrame):
+    """The time of each row as text, null if the frame has no time column.
+
+    Files under different headers may have it under different exact names: the first that is filled.
+    """
+    exact = [F.col(f"`{n}`").cast("string") for n in TIME_COLUMN_NAMES if n in df.columns]
+    if exact:
+        return F.coalesce(*exact)
+    name = time_column(df)
+    return None if name is None else F.col(f"`{name}`").cast("string")
+
+
+def _clean(x: Column) -> Column:
+    return F.trim(x.cast("string"))
+
+
+def time_form(x: Column) -> Column:
+    """Name of the form that a text has, null if it has none; half-day times have their own."""
+    text = _clean(x)
+    half = F.when(text.rlike(TIME_FORMS["half_day"][0]), F.lit("half_day"))
+    return F.coalesce(half, *[F.when(text.rlike(pattern), F.lit(name)) for name, (pattern, _) in TIME_FORMS.items()])
+
+
 def parse_time(x: Column) -> Column:
-    """Text to timestamp; text that is no time gives null instead of an error."""
-    return F.try_to_timestamp(x.cast("string"))
+    """Text to timestamp, in any of TIME_FORMS; text that is no time gives null instead of an error.
+
+    Each form's pattern covers the whole text and is rewritten for the parser, so the forms are
+    tried by one chain of replacements and parsed once. Month before day in "1/5/2024".
+    """
+    text = _clean(x)
+    for pattern, rewriting in TIME_FORMS.values():
+        text = F.regexp_replace(text, pattern, rewriting)
+    # Clock parts that the text lacks stand as 0, those that it has after a 0.
+    text = F.regexp_replace(F.trim(text), r"(?<=[ :])0(?=\d{2}(?:$|[:Z+-]))", "")
+    text = F.regexp_replace(text, r"(?<=[ :])0(?=:|$|[Z+-])", "00")
+    # The parser would take a clock alone for a time of today.
+    text = F.regexp_replace(text, r"^T?\d{1,2}:.*$", "")
+    return F.coalesce(
+        F.try_to_timestamp(text),
+        F.try_to_timestamp(F.initcap(text), F.lit(_MONTH_NAME)),
+        F.try_to_timestamp(F.upper(text), F.lit(_HALF_DAY)),
+    )
 
 
 def local_minute(x: Column, zone: str = LOCAL_ZONE) -> Column:
@@ -27,11 +83,8 @@ def local_minute(x: Column, zone: str = LOCAL_ZONE) -> Column:
 
 def assume_local(x: Column, zone: str = LOCAL_ZONE) -> Column:
     """Text time to UTC: text without an offset is local time, text with one is kept."""
-    text = F.trim(x.cast("string"))
-    parsed = parse_time(text)
-    return F.when(text.rlike(_OFFSET_PATTERN), parsed).otherwise(
-        F.to_utc_timestamp(parsed, zone)
-    )
+    has_offset = _clean(x).rlike(_OFFSET_PATTERN)
+    return F.to_utc_timestamp(parse_time(x), F.when(has_offset, F.lit("UTC")).otherwise(F.lit(zone)))
 
 
 def floor_time(x: Column, unit: str) -> Column:

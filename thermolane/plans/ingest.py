@@ -1,15 +1,15 @@
 """Raw CSV logs to warehouse tables, and facility extracts from them."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from thermolane import constants as C
 from thermolane.functions.categories import strict_code
 from thermolane.functions.names import outdoor_id, warehouse_name
 from thermolane.functions.numeric import null_safe_sum
-from thermolane.functions.temporal import assume_local
+from thermolane.functions.temporal import assume_local, parse_time, time_text
 from thermolane.operators.cleaning import require_filled
 from thermolane.sources import readers, writers
+from thermolane.sources.staging import stage
 
 SCHEMAS = {"ac_control": C.AC_CONTROL_SCHEMA, "power_meter": C.POWER_METER_SCHEMA}
 
@@ -17,16 +17,16 @@ SCHEMAS = {"ac_control": C.AC_CONTROL_SCHEMA, "power_meter": C.POWER_METER_SCHEM
 def to_warehouse(raw: DataFrame, data_type: str) -> DataFrame:
     """Known columns under warehouse names and types; times in UTC; keys filled.
 
-    A time without an offset is local. Text that does not fit its type becomes null, and
+    The time column is found by its name, and its times are read in any of the known forms (see
+    `functions.temporal`); a time without an offset is local. Text that does not fit its type becomes null, and
     rows without a full key go.
     """
     types = {f.name: f.dataType for f in SCHEMAS[data_type].fields}
-    columns = []
+    when = time_text(raw)
+    columns = [] if when is None else [assume_local(when).alias("Datetime")]
     for heading in raw.columns:
         name = warehouse_name(heading)
-        if name == "Datetime":
-            columns.append(assume_local(F.col(f"`{heading}`")).alias(name))
-        elif name in types or (data_type == "ac_control" and name.endswith(C.LEVEL_SUFFIX)):
+        if name != "Datetime" and name in types or (data_type == "ac_control" and name.endswith(C.LEVEL_SUFFIX)):
             columns.append(_typed(heading, types.get(name, T.LongType())).alias(name))
     return require_filled(raw.select(*columns), C.RAW_KEYS[data_type])
 
@@ -38,31 +38,33 @@ def _typed(heading: str, kind: T.DataType):
     return x.cast("string").try_cast(kind)
 
 
-def _any_case(text: str) -> str:
-    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() and c.isascii() else c for c in text)
-
-
-GLOBS = {
-    "ac_control": f"*{{{_any_case('ac-control')},{_any_case('ac')}制御}}*.csv",
-    "power_meter": f"*{_any_case('power')}*.csv",
-}
-
-
 def ingest_folder(spark: SparkSession, landing: str, warehouse: str) -> None:
     """Load every CSV log below `landing` into the raw tables below `warehouse`.
 
-    Files of one type share their header. Loading the same files again changes nothing.
+    Files are routed by name or folder, and columns matched by heading, so files of one type
+    may differ in the order and number of their columns. Loading the same files again changes
+    nothing. Times that could not be read are counted in `<type>_rejects`.
     """
-    for data_type, glob in GLOBS.items():
+    headers = stage(readers.with_data_type(readers.csv_headers(spark, landing)), "headers")
+    for data_type in SCHEMAS:
         try:
-            raw = readers.read_csv_folder(spark, landing, glob=glob)
-        except AnalysisException as e:
-            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-                raise
+            raw = readers.read_by_header(spark, headers.where(F.col("data_type") == data_type))
+        except FileNotFoundError:
             continue
-        routed = readers.with_data_type(raw).where(F.col("data_type") == data_type)
-        rows = to_warehouse(routed.drop("source", "source_file", "data_type"), data_type)
+        rows = to_warehouse(raw.drop("source", "source_file"), data_type)
         writers.upsert(rows, f"{warehouse}/{data_type}_raw", C.RAW_KEYS[data_type], "Datetime")
+        rejects = rejected_times(raw)
+        rejects.write.mode("overwrite").parquet(f"{warehouse}/{data_type}_rejects")
+
+
+def rejected_times(raw: DataFrame) -> DataFrame:
+    """(text, rows): filled times that no form reads, and in how many rows each stands."""
+    when = time_text(raw)
+    if when is None:
+        raise ValueError(f"no time column among {raw.columns}")
+    text = F.trim(when)
+    bad = raw.select(text.alias("text")).where((F.col("text") != "") & parse_time(F.col("text")).isNull())
+    return bad.groupBy("text").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def indoor_extract(raw: DataFrame) -> DataFrame:

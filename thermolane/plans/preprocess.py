@@ -3,14 +3,20 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from thermolane.constants import OUTLIER_SIGMAS
-from thermolane.functions.temporal import local_minute
+from thermolane.functions.temporal import local_minute, time_column
 from thermolane.operators import cleaning
 from thermolane.sources.staging import stage
 
 
 def standardize(df: DataFrame, headings: dict) -> DataFrame:
-    """Rename raw headings to working names; other columns keep theirs."""
+    """Rename raw headings to working names; other columns keep theirs.
+
+    The time column is found by its name: an exact one first, else one containing "datetime".
+    """
     present = {h: n for h, n in headings.items() if h in df.columns}
+    when = time_column(df)
+    if when and "ts" not in present.values():
+        present[when] = "ts"
     return df.withColumnsRenamed(present)
 
 

@@ -1,17 +1,24 @@
 """Durable intermediate tables."""
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_roots: dict[str, str] = {}
+
 
 def staging_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is set (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="thermolane-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context = spark.sparkContext
+        if not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if context.applicationId not in _local_roots:
+            _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="thermolane-")
+        root = _local_roots[context.applicationId]
     return root.rstrip("/")
 
 

@@ -1,7 +1,8 @@
 """Sinks: CSV, tables, partitioned storage, upsert by keys, and plan outputs."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+
+from thermolane.sources import stored
 
 PARTITION_UNITS = {"DAY": "day", "HOUR": "hour", "MONTH": "month"}
 
@@ -61,52 +62,36 @@ def _balanced(parts: DataFrame, cluster_by) -> DataFrame:
     return parts.hint("rebalance", F.col("part")).sortWithinPartitions("part", *cluster_by)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def merged_rows(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
-    """Target without the keys of the batch, plus every row of the batch."""
+    """Target without the keys of the batch, plus every row of the batch; columns by name."""
     kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(batch, allowMissingColumns=True)
 
 
-def upsert(batch: DataFrame, path: str, keys, ts: str, unit: str = "DAY") -> None:
+def upsert(
+    batch: DataFrame, path: str, keys, ts: str, unit: str = "DAY", newest_by=None, batch_of=None
+) -> bool:
     """Replace rows with equal keys and add the rest; the same batch twice changes nothing.
 
     The time must be one of the keys, so a row and its replacement share a partition: only
-    partitions the batch touches are read and rewritten (the list of their names is the only
-    thing the driver sees). Partition names come from UTC on both sides.
+    partitions the batch touches are read, and new versions of them are written; the table
+    changes in one step (see `sources.stored`, also for `newest_by` and `batch_of`). Columns
+    new in the batch become columns of the table; columns it lacks are null in its rows.
+    Partition names come from UTC on both sides. Says whether the batch was taken.
     """
     missing = [k for k in keys if k not in batch.columns]
     if missing:
         raise ValueError(f"key columns not in batch: {missing}")
     if ts not in keys:
         raise ValueError(f"the time column {ts} must be one of the keys")
-    spark = batch.sparkSession
+    cluster = [k for k in keys if k != ts]
     parts = with_partition(batch, ts, unit)
-    if not table_exists(spark, path):
-        write_partitioned(batch, path, ts, unit, [k for k in keys if k != ts])
-        return
-    touched = [r.part for r in parts.select("part").distinct().collect()]
-    target = read_stored(spark, path).where(F.col("part").isin(touched))
-    merged = merged_rows(target, parts, keys)
-    (
-        _balanced(merged, [k for k in keys if k != ts])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("part")
-        .parquet(path)
-    )
+    return stored.change(parts, path, keys, lambda df: _balanced(df, cluster), newest_by, batch_of)
 
 
 def read_stored(spark: SparkSession, path: str) -> DataFrame:
     """The stored table with all its columns; `part` stays text, so equal names compare equal."""
-    stored = spark.read.parquet(path).schema
-    fields = [f for f in stored.fields if f.name != "part"]
-    schema = StructType([*fields, StructField("part", StringType())])
-    return spark.read.schema(schema).parquet(path)
+    return stored.read(spark, path)
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:

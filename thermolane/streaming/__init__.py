@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from thermolane.sources import stored
 from thermolane.sources.writers import upsert
 
 
@@ -13,16 +14,36 @@ def read_stream(spark: SparkSession, path: str, schema, glob: str = "*.parquet",
     return reader.parquet(path)
 
 
+def _merge(path: str, checkpoint: str, keys, ts: str, newest_by=None):
+    """What a stream does with a batch: merge it into the stored table, once.
+
+    The table's manifest records the number of the last batch of every query, in the same step
+    as the rows, so that a batch replayed after a failure is skipped.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch.persist()
+        try:
+            rows = batch if newest_by else stored.newest(batch, keys, [])
+            upsert(rows, path, keys, ts, newest_by=newest_by, batch_of=(query or checkpoint, number))
+        finally:
+            batch.unpersist()
+
+    return merge
+
+
 def ingest_stream(
-    stream: DataFrame, path: str, checkpoint: str, keys, ts: str, lateness: str = "1 day"
+    stream: DataFrame, path: str, checkpoint: str, keys, ts: str, newest_by=None
 ):
-    """Upsert every micro-batch. A batch replayed after a failure changes nothing.
+    """Merge every micro-batch into the stored table: late rows are added, corrected rows replace.
 
-    Copies within the lateness bound are dropped in the stream; later ones meet the upsert.
+    One row per key stays. With `newest_by` (columns such as a version or a time of arrival) it is
+    the row with the largest of these, in whatever order the rows come; without, that of the
+    last batch that has the key. No row is dropped for being late: the table itself is the state.
     """
-    unique = stream.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(list(keys))
     return (
-        unique.writeStream.foreachBatch(lambda batch, _: upsert(batch, path, keys, ts))
+        stream.writeStream.foreachBatch(_merge(path, checkpoint, keys, ts, newest_by))
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
@@ -33,7 +54,11 @@ def ingest_stream(
 def hourly_stream(
     stream: DataFrame, keys, value: str, path: str, checkpoint: str, lateness: str = "2 hours"
 ):
-    """Hourly sums per key, upserted as they change; state is dropped past the watermark."""
+    """Hourly sums per key of closed hours: an hour is stored once, when the watermark passes its end.
+
+    The watermark is the largest time seen less `lateness`; later rows of a closed hour are
+    dropped, and state is kept for open hours only. Open hours are not stored.
+    """
     hourly = (
         stream.withWatermark("ts", lateness)
         .groupBy(F.window("ts", "1 hour").alias("w"), *keys)
@@ -41,9 +66,9 @@ def hourly_stream(
         .select(*keys, F.col("w.start").alias("ts"), value, "samples")
     )
     return (
-        hourly.writeStream.foreachBatch(lambda batch, _: upsert(batch, path, [*keys, "ts"], "ts"))
+        hourly.writeStream.foreachBatch(_merge(path, checkpoint, [*keys, "ts"], "ts"))
         .option("checkpointLocation", checkpoint)
-        .outputMode("update")
+        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
