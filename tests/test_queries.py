@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from thermolane import catalog
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES = entry.queries()
@@ -20,7 +21,7 @@ def duck():
 
 def test_names_agree():
     assert set(entry.oracle_sql()) <= set(QUERIES)
-    assert set(QUERIES) - set(entry.oracle_sql()) == {"multi_target_regression", "what_if_scores"}
+    assert set(catalog.all_queries()) - set(catalog.all_sql()) == {"multi_target_regression", "what_if_scores"}
 
 
 @needs_data
