@@ -16,10 +16,10 @@ ALL_PANELS = ["Z0", "Z1", "Z2", "Z3", "Z4"]
 ODUS = [f"{m}-{a}" for m in (0, 1) for a in (0, 1, 2)]
 
 
-def _indoor(spark, d):
+def _indoor(spark, d, unit="zone"):
     r = V.readings(spark, d)
     return plan.indoor_hours(
-        r.withColumn("unit", F.col("zone")).withColumns(
+        r.withColumn("unit", F.col(unit)).withColumns(
             {c: category_code(F.col(c), c, True) for c in ("on_off", "mode", "fan_speed")}
         )
     )
@@ -30,9 +30,10 @@ def _outdoor(spark, d):
     return plan.outdoor_hours(p.withColumn("mesh_id", F.col("mesh_id") % 2))
 
 
-_BASE = "WITH " + (V.READINGS_SQL + V.POWER_SQL).lstrip() + f""",
+def _base(unit="zone", mesh="(mesh_id % 2)"):
+    return "WITH " + (V.READINGS_SQL + V.POWER_SQL).lstrip() + f""",
 coded AS (
-  SELECT site, date_trunc('hour', ts) AS ts, zone AS unit, set_temp, indoor_temp,
+  SELECT site, date_trunc('hour', ts) AS ts, {unit} AS unit, set_temp, indoor_temp,
          {V.code('on_off', 'on_off')} AS on_off, {V.code('mode', 'mode')} AS mode,
          {V.code('fan_speed', 'fan_speed')} AS fan_speed
   FROM readings
@@ -46,15 +47,26 @@ ih AS (
   LEFT JOIN {V.mode_of('coded', 'site, ts, unit', 'on_off')} o USING (site, ts, unit)
 ),
 oh AS (
-  SELECT site, date_trunc('hour', ts) AS ts, (mesh_id % 2) || '-' || pm_addr_id AS odu,
+  SELECT site, date_trunc('hour', ts) AS ts, {mesh} || '-' || pm_addr_id AS odu,
          {V.cut('sum(' + V.TOTAL_KWH_SQL + ')', 4)} AS total_kwh
   FROM power GROUP BY 1, 2, 3
 )"""
 
-QUERIES["indoor_hours"] = _indoor
-SQL["indoor_hours"] = _BASE + " SELECT * FROM ih"
-QUERIES["outdoor_hours"] = _outdoor
-SQL["outdoor_hours"] = _BASE + " SELECT * FROM oh"
+
+_BASE = _base()
+
+
+def _labels_as_doubles(df):
+    """Labels can be null; as doubles both engines show null the same way."""
+    return df.withColumns({c: F.col(c).cast("double") for c in ("mode", "fan_speed", "on_off")})
+
+
+# Every unit and meter, not panels.
+QUERIES["indoor_hours"] = lambda s, d: _labels_as_doubles(_indoor(s, d, "unit"))
+SQL["indoor_hours"] = _base("unit") + """
+SELECT * REPLACE (mode::DOUBLE AS mode, fan_speed::DOUBLE AS fan_speed, on_off::DOUBLE AS on_off) FROM ih"""
+QUERIES["outdoor_hours"] = lambda s, d: plan.outdoor_hours(cleaning.add_total_kwh(V.power(s, d)))
+SQL["outdoor_hours"] = _base(mesh="mesh_id") + " SELECT * FROM oh"
 
 
 def _doubles(df):
@@ -112,6 +124,35 @@ SELECT a.*, {', '.join(f'coalesce("total_kwh__{o}", 0.0::DOUBLE) AS "total_kwh__
 FROM a LEFT JOIN b USING (site, ts)"""
 )
 
+
+
+def _matrix_without_gaps(spark, d):
+    """The matrix without the columns that hold a null, one row per cell."""
+    wide = plan.building_matrix(_indoor(spark, d), _outdoor(spark, d), ALL_PANELS, ODUS)
+    cells = [c for c in wide.columns if c not in ("site", "ts")]
+    return _doubles(wide).unpivot(["site", "ts"], cells, "name", "value")
+
+
+QUERIES["building_matrix_complete"] = _matrix_without_gaps
+SQL["building_matrix_complete"] = (
+    _FILLED
+    + ", cells AS ("
+    + " UNION ALL ".join(
+        f"SELECT h.site, h.ts, '{m}__{u}' AS name, CAST(f.{m} AS DOUBLE) AS value "
+        f"FROM full_hours h LEFT JOIN filled f ON f.site = h.site AND f.ts = h.ts AND f.unit = '{u}'"
+        for m in plan.INDOOR
+        for u in ALL_PANELS
+    )
+    + " UNION ALL "
+    + " UNION ALL ".join(
+        f"SELECT h.site, h.ts, 'total_kwh__{o}', coalesce(oh.total_kwh, 0.0::DOUBLE) "
+        f"FROM full_hours h LEFT JOIN oh ON oh.site = h.site AND oh.ts = h.ts AND oh.odu = '{o}'"
+        for o in ODUS
+    )
+    + """)
+SELECT * FROM cells WHERE name NOT IN (SELECT name FROM cells WHERE value IS NULL)"""
+)
+
 QUERIES["last_value_pivot"] = lambda s, d: reshape.last_values(
     V.readings(s, d).withColumn("ts", F.date_trunc("hour", "ts")),
     "indoor_temp",
@@ -204,3 +245,29 @@ def _what_if(spark, d):
 
 
 QUERIES["what_if_scores"] = _what_if
+
+SCENARIOS = [(26.0, 1, 1, None), (22.0, 2, 3, 0), (18.0, 3, 0, 99), (24.5, 1, 2, -4)]
+UNIT_FEATURES = [f"{m}__{u}" for u in ALL_PANELS for m in ("on_off", "set_temp", "mode", "fan_speed")]
+
+
+def _scenario_rows(spark, d):
+    cases = learning.scenario_rows(V.forecast(spark, d), [*UNIT_FEATURES, "outdoor_temp", "absent"], SCENARIOS)
+    return cases.withColumn("units_on_asked", F.col("units_on_asked").cast("double"))
+
+
+QUERIES["what_if_rows"] = _scenario_rows
+SQL["what_if_rows"] = (
+    "WITH " + (V.EVENTS_SQL + V.WEATHER_SQL).lstrip() + V.forecast_sql() + f""",
+asked(scenario, set_temp, mode, fan, asked) AS (VALUES {', '.join(
+    f"({i}, {t}::DOUBLE, {m}, {f}, {'NULL' if k is None else k}::INTEGER)" for i, (t, m, f, k) in enumerate(SCENARIOS)
+)}),
+clamped AS (SELECT *, least(greatest(coalesce(asked, {len(ALL_PANELS)}), 0), {len(ALL_PANELS)}) AS k FROM asked)
+SELECT site, ts, scenario, set_temp AS set_temp_uniform, mode AS mode_uniform, fan AS fan_uniform,
+       asked::DOUBLE AS units_on_asked, k AS units_on_uniform,
+       {', '.join(
+           f'(CASE WHEN {i} < k THEN 1.0 ELSE 0.0 END)::DOUBLE AS "on_off__{u}", set_temp AS "set_temp__{u}", '
+           f'mode::DOUBLE AS "mode__{u}", fan::DOUBLE AS "fan_speed__{u}"' for i, u in enumerate(ALL_PANELS)
+       )},
+       coalesce(outdoor_temp, 0.0::DOUBLE) AS outdoor_temp, 0.0::DOUBLE AS absent
+FROM forecast, clamped"""
+)

@@ -84,7 +84,7 @@ QUERIES["unit_distribution"] = lambda s, d: st.distribution(
     V.readings(s, d).withColumn("ts", F.date_trunc("hour", "ts")), ["site", "ts"], "indoor_temp"
 )
 SQL["unit_distribution"] = "WITH " + V.READINGS_SQL.lstrip() + f""",
-v AS (SELECT site, date_trunc('hour', ts) AS ts, {V.one_decimal('indoor_temp')} AS v
+v AS (SELECT site, date_trunc('hour', ts) AS ts, indoor_temp AS v
       FROM readings WHERE indoor_temp IS NOT NULL)
 SELECT site, ts, min(v) AS v_min, {V.cut('quantile_cont(v, 0.25)')} AS q1,
        {V.cut('quantile_cont(v, 0.5)')} AS median, {V.cut('quantile_cont(v, 0.75)')} AS q3,

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from thermolane.constants import CATEGORY_CODES, DEFAULT_CODES
 from thermolane.operators.cleaning import add_total_kwh
+from thermolane.operators.matching import before_forecast, in_forecast
 from thermolane.operators.rollup import hourly_weather
 from thermolane.plans.features import zone_features
 from thermolane.plans.master import equipment
 from thermolane.sources.staging import stage
 
-FORECAST_FROM = "2024-01-27 00:00:00"
+#: The plan is made on the day three days before the last one that the data has.
+FORECAST_FROM_SQL = "(SELECT date_trunc('day', max(ts)) - INTERVAL 3 DAY FROM events)"
 
 
 def once(build):
@@ -208,9 +210,16 @@ settings AS (
 )"""
 
 
+@once
+def run_day(spark: SparkSession, sf_dir: str):
+    """The day of the planning run: the forecast covers it and the three days after."""
+    last = F.date_trunc("day", F.max("ts")) - F.expr("INTERVAL 3 DAY")
+    return events(spark, sf_dir).agg(last.alias("day")).first().day
+
+
 def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly weather of the last four days, per site."""
-    return hourly_weather(weather(spark, sf_dir).where(F.col("ts") >= F.lit(FORECAST_FROM)))
+    return hourly_weather(in_forecast(weather(spark, sf_dir), run_day(spark, sf_dir)))
 
 
 def cut(x: str, digits: int = 8) -> str:
@@ -254,14 +263,14 @@ forecast AS (
   SELECT site, date_trunc('hour', ts) AS ts, {cut('avg(outdoor_temp)')} AS outdoor_temp,
          {cut('avg(outdoor_humidity)')} AS outdoor_humidity,
          {cut('avg(solar_radiation)')} AS solar_radiation
-  FROM weather WHERE ts >= TIMESTAMP '{FORECAST_FROM}' GROUP BY 1, 2
+  FROM weather WHERE ts >= {FORECAST_FROM_SQL} GROUP BY 1, 2
 )"""
 
 
 def features(spark: SparkSession, sf_dir: str, history_only: bool = False) -> DataFrame:
     """The zone feature table; `history_only` leaves the forecast days out."""
     def cut_off(df):
-        return df.where(F.col("ts") < F.lit(FORECAST_FROM)) if history_only else df
+        return before_forecast(df, run_day(spark, sf_dir)) if history_only else df
 
     return zone_features(
         cut_off(readings(spark, sf_dir)).drop("zone"),
@@ -334,7 +343,7 @@ zone_power AS (
 
 def features_sql(history_only: bool = False) -> str:
     """All CTEs up to `features`, starting with WITH."""
-    where = f" WHERE ts < TIMESTAMP '{FORECAST_FROM}'" if history_only else ""
+    where = f" WHERE ts < {FORECAST_FROM_SQL}" if history_only else ""
     base = READINGS_SQL + POWER_SQL + WEATHER_SQL + EQUIPMENT_SQL
     if history_only:
         # The forecast reads all weather, the history what came before it.

@@ -1,5 +1,7 @@
 """Multi-target regression and what-if scoring with Spark ML."""
 
+import json
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -48,35 +50,50 @@ def scores(predictions: DataFrame, targets) -> DataFrame:
     ).select("r.*")
 
 
-def what_if(
-    forecast: DataFrame, features, set_temp: float, mode: int, fan: int, units_on: int = None
-) -> DataFrame:
-    """Feature rows of a forecast under the same settings for every unit, first k units on.
+SCENARIO = "scenario int, set_temp double, mode int, fan int, asked int"
+
+
+def scenario_rows(forecast: DataFrame, features, scenarios) -> DataFrame:
+    """Feature rows of a forecast under each scenario: the same settings for every unit.
 
-    Feature names are `{metric}__{unit}` or weather names; other features are 0.
+    A scenario is (set_temp, mode, fan, units_on): of the units, in the order of the features, the
+    first `units_on` run; fewer than 0 means none, None or more than there are means all.
+    Feature names are `{metric}__{unit}` or columns of the forecast; other features, and missing
+    weather, are 0. Scenarios are a short list, so they are exploded from a literal.
     """
     switches = [f for f in features if f.startswith("on_off__")]
-    k = len(switches) if units_on is None else min(max(int(units_on), 0), len(switches))
+    cases = F.from_json(
+        F.lit(json.dumps([{"scenario": i, "set_temp": float(t), "mode": int(m), "fan": int(f), "asked": None if k is None else int(k)}
+                          for i, (t, m, f, k) in enumerate(scenarios)])),
+        f"array<struct<{', '.join(x.replace(' ', ': ', 1) for x in SCENARIO.split(', '))}>>",
+    )
+    rows = forecast.withColumn("__case", F.explode(cases))
+    running = F.least(F.greatest(F.coalesce(F.col("__case.asked"), F.lit(len(switches))), F.lit(0)), F.lit(len(switches)))
+    uniform = {"set_temp__": "set_temp", "mode__": "mode", "fan_speed__": "fan"}
 
     def value(name):
-        if name.startswith("set_temp__"):
-            return F.lit(float(set_temp))
-        if name.startswith("mode__"):
-            return F.lit(float(mode))
-        if name.startswith("fan_speed__"):
-            return F.lit(float(fan))
         if name in switches:
-            return F.lit(1.0 if switches.index(name) < k else 0.0)
-        if name in forecast.columns:
-            return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
-        return F.lit(0.0)
+            return (F.lit(switches.index(name)) < F.col("__running")).cast("double")
+        for prefix, setting in uniform.items():
+            if name.startswith(prefix):
+                return F.col(f"__case.{setting}").cast("double")
+        return F.coalesce(F.col(f"`{name}`").cast("double"), F.lit(0.0)) if name in forecast.columns else F.lit(0.0)
 
-    return forecast.select(
+    return rows.withColumn("__running", running).select(
         "site",
         "ts",
-        F.lit(float(set_temp)).alias("set_temp_uniform"),
-        F.lit(mode).alias("mode_uniform"),
-        F.lit(fan).alias("fan_uniform"),
-        F.lit(k).alias("units_on_uniform"),
+        "__case.scenario",
+        F.col("__case.set_temp").alias("set_temp_uniform"),
+        F.col("__case.mode").alias("mode_uniform"),
+        F.col("__case.fan").alias("fan_uniform"),
+        F.col("__case.asked").alias("units_on_asked"),
+        F.col("__running").alias("units_on_uniform"),
         *[value(f).alias(f) for f in features],
     )
+
+
+def what_if(
+    forecast: DataFrame, features, set_temp: float, mode: int, fan: int, units_on: int = None
+) -> DataFrame:
+    """The rows of one scenario (see `scenario_rows`)."""
+    return scenario_rows(forecast, features, [(set_temp, mode, fan, units_on)]).drop("scenario", "units_on_asked")

@@ -27,6 +27,21 @@ ZONE = ["site", "zone"]
 CASE = ["site", "zone", "fc_date"]
 
 
+#: Fixed value: calendar days of a forecast, the day of the run first.
+FORECAST_DAYS = 4
+
+
+def in_forecast(df: DataFrame, run_day, days: int = FORECAST_DAYS, ts: str = "ts") -> DataFrame:
+    """Rows of the forecast window of a run: from the start of its day, so many days."""
+    start = F.date_trunc("day", F.lit(run_day).cast("timestamp"))
+    return df.where((F.col(ts) >= start) & (F.col(ts) < start + F.make_dt_interval(F.lit(days))))
+
+
+def before_forecast(df: DataFrame, run_day, ts: str = "ts") -> DataFrame:
+    """The history of a run: rows before the start of its day."""
+    return df.where(F.col(ts) < F.date_trunc("day", F.lit(run_day).cast("timestamp")))
+
+
 def with_day_and_hour(df: DataFrame, date: str = "date") -> DataFrame:
     return df.withColumns({date: F.to_date("ts"), "hour": F.hour("ts")})
 

@@ -19,20 +19,36 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from thermolane.sources.staging import stage
 
 _BUCKET = "__bucket"
+#: Stored bytes of input for one range: a few times that in memory, which one task sorts without spilling.
+RANGE_BYTES = 32 << 20
+#: Catalyst's size of inputs that it does not know.
+_UNKNOWN = 2**63 - 1
 
 
 def with_buckets(df: DataFrame, keys, order, bucket: Column = None) -> DataFrame:
     """Add the bucket column: the given expression, or balanced ranges of (keys, order).
 
-    Range limits come from a sample, so the ranged rows are stored: every later reader sees
+    Their number grows with the input, and is never below the shuffle partitions (which adaptive
+    execution may coalesce). Range limits come from a sample, so the ranged rows are stored: every later reader sees
     the same buckets, also after a lost executor.
     """
     if bucket is not None:
         return df.withColumn(_BUCKET, bucket)
-    ranged = df.repartitionByRange(*keys, *order).withColumn(_BUCKET, F.spark_partition_id())
+    wanted = [ranges(df)] if ranges(df) > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+    ranged = df.repartitionByRange(*wanted, *keys, *order).withColumn(_BUCKET, F.spark_partition_id())
     return stage(ranged, "ranges")
 
 
+def ranges(df: DataFrame) -> int:
+    """How many ranges the input asks for: its stored bytes, as Catalyst knows them, by RANGE_BYTES.
+
+    Inputs whose size Catalyst does not know (rows handed over by the driver) count as none.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return -(-sum(s for s in sizes if s < _UNKNOWN) // RANGE_BYTES)
+
+
 def _edges(bucketed: DataFrame, keys, order, value: str):
     """Rows with their place in the bucket and nearest values there, and the bucket summary."""
     here = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
@@ -187,9 +203,11 @@ def chronological_split(
     df: DataFrame, order, bucket: Column = None, share: float = 0.8
 ) -> DataFrame:
     """Add `is_train`: true for the first floor(share * n) rows along `order`."""
-    placed = row_positions(df, [], order, bucket, name="__pos")
-    size = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return placed.withColumn("is_train", F.col("__pos") <= F.floor(size * share)).drop("__pos")
+    bucketed = with_buckets(df, [], order, bucket)
+    placed = row_positions(bucketed, [], order, F.col(_BUCKET), name="__pos")
+    size = bucketed.agg(F.count(F.lit(1)).alias("n")).scalar()
+    flagged = placed.withColumn("is_train", F.col("__pos") <= F.floor(size * share))
+    return flagged.select(*df.columns, "is_train")
 
 
 # The operators below run on hourly tables: one row per (key, hour), so a key has at most

@@ -1,10 +1,14 @@
 """Monthly statistics, control limits, correlations, distributions and quality reports."""
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from thermolane.functions.numeric import round_half_even, round_to_half, steady, steady_mean
 from thermolane.functions.temporal import month_label
 from thermolane.operators.ordered import row_positions
+from thermolane.sources.staging import stage
 
 NO_LABEL = "Unknown"
 DEFAULT_SPEED = "Low"
@@ -41,26 +45,26 @@ def fan_speed_counts(on: DataFrame) -> DataFrame:
 
     Every speed has a row in each of the twelve months (count 0, unit null) so the report is
     complete. The totals include readings without a unit name.
+
+    Raw readings are counted once, map-side first, and the counts stored. Totals (a row per month
+    and speed) come from the counts; the counts are joined to them from the side that adaptive
+    execution can split, and the months in which no unit used a speed are a grid of their own.
     """
-    counts = on.groupBy("month", "fan_speed", "unit").agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy("month", "fan_speed").agg(F.sum("n").alias("frequency"))
-    grid = (
-        counts.select("fan_speed")
-        .distinct()
-        .withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12))))
+    keys = ["month", "fan_speed"]
+    counts = stage(on.groupBy(*keys, "unit").agg(F.count(F.lit(1)).alias("n")), "fan-counts")
+    totals = counts.groupBy(*keys).agg(
+        F.sum("n").alias("frequency"), F.count_if(F.col("unit").isNotNull()).alias("units")
     )
-    named = counts.where(F.col("unit").isNotNull())
-    return (
-        grid.join(totals, ["month", "fan_speed"], "left")
-        .join(named, ["month", "fan_speed"], "left")
-        .select(
-            "month",
-            "fan_speed",
-            F.coalesce("frequency", F.lit(0)).alias("frequency"),
-            "unit",
-            F.coalesce("n", F.lit(0)).alias("n"),
-        )
+    named = counts.where(F.col("unit").isNotNull()).join(totals.drop("units"), keys)
+    speeds = totals.select("fan_speed").distinct()
+    grid = speeds.withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12))))
+    empty = grid.join(totals.where("units > 0"), keys, "left_anti").join(totals, keys, "left").select(
+        *keys,
+        F.coalesce("frequency", F.lit(0)).alias("frequency"),
+        F.lit(None).cast("string").alias("unit"),
+        F.lit(0).cast("bigint").alias("n"),
     )
+    return named.select(*keys, "frequency", "unit", "n").unionByName(empty)
 
 
 def unit_limits(monthly: DataFrame) -> DataFrame:
@@ -273,26 +277,41 @@ def merge_quality(zones: DataFrame, power: DataFrame) -> DataFrame:
     )
 
 
-def distribution(df: DataFrame, keys, value: str, digits: int = 1) -> DataFrame:
-    """Minimum, quartiles and maximum of `value` across units, per key.
+QUARTILES = ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
+
+
+def distribution(df: DataFrame, keys, value: str, bucket=None) -> DataFrame:
+    """Minimum, quartiles and maximum of `value` across units, per key; between two ranks linear.
 
-    Equal values (at sensor resolution, `digits` decimals) are counted first, so the exact
-    percentile holds one entry per distinct value, not one per unit.
+    Exact on the values as they are. Values are ranked over balanced ranges (see
+    `operators.ordered`), so that no key, however many values it has, sits in one task; of all
+    rows only those at the two ranks next to each quartile go on.
     """
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, round_half_even(F.col(value), digits).alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    filled = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("v"))
+    ranked = row_positions(filled, keys, ["v"], bucket, name="rank")
+    sizes = filled.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("v_min"), F.max("v").alias("v_max")
     )
-    return counts.groupBy(*keys).agg(
-        F.min("v").alias("v_min"),
-        *[
-            steady(F.percentile("v", F.lit(p), F.col("n"))).alias(name)
-            for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
-        ],
-        F.max("v").alias("v_max"),
+    sizes = stage(sizes, "sizes")
+    renamed = sizes.withColumnsRenamed({k: f"__of_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
+    joined = ranked.join(renamed, same)
+
+    def place(p):
+        return p * (F.col("n") - 1) + 1
+
+    near = [F.col("rank").isin(F.floor(place(p)), F.ceil(place(p))) for p, _ in QUARTILES]
+    ends = joined.where(reduce(or_, near)).groupBy(*keys, "n", "v_min", "v_max").agg(
+        *[F.max(F.when(F.col("rank") == F.floor(place(p)), F.col("v"))).alias(f"{q}_low") for p, q in QUARTILES],
+        *[F.max(F.when(F.col("rank") == F.ceil(place(p)), F.col("v"))).alias(f"{q}_high") for p, q in QUARTILES],
     )
 
+    def quartile(p, q):
+        low, high = F.col(f"{q}_low"), F.col(f"{q}_high")
+        return steady(low + (high - low) * (place(p) - F.floor(place(p)))).alias(q)
+
+    return ends.select(*keys, "v_min", *[quartile(p, q) for p, q in QUARTILES], "v_max")
+
 
 def label_codes(df: DataFrame, column: str, name: str) -> DataFrame:
     """Alphabetical codes 0, 1, ... of a category's labels; null -> -1."""

@@ -6,23 +6,61 @@ from thermolane.functions.names import outdoor_id
 from thermolane.functions.numeric import steady, steady_mean
 from thermolane.operators import reshape
 from thermolane.operators.ordered import fill_forward_when
+from thermolane.sources.staging import stage
 
 INDOOR = ["set_temp", "indoor_temp", "mode", "fan_speed", "on_off"]
 FILLED = ["set_temp", "mode", "fan_speed", "indoor_temp"]
 
 
+_SPAN, _LARGEST = 2**32, 2**31 - 1
+
+
+def _whole(x):
+    """Text as a whole number, null where it is none."""
+    return x.cast("string").try_cast("double").cast("int")
+
+
 def whole_number_mode(x):
-    """Commonest whole number (text that is no number is skipped), lowest on ties."""
-    return F.mode(x.cast("string").try_cast("double").cast("int"), True)
+    """Commonest whole number (text that is no number is skipped), lowest on ties.
+
+    For groups of few rows; `indoor_hours` counts instead.
+    """
+    return F.mode(_whole(x), True)
 
 
 def indoor_hours(readings: DataFrame) -> DataFrame:
-    return readings.groupBy("site", F.date_trunc("hour", "ts").alias("ts"), "unit").agg(
-        steady_mean(F.col("set_temp")).alias("set_temp"),
-        steady_mean(F.col("indoor_temp")).alias("indoor_temp"),
-        whole_number_mode(F.col("mode")).alias("mode"),
-        whole_number_mode(F.col("fan_speed")).alias("fan_speed"),
-        whole_number_mode(F.col("on_off")).alias("on_off"),
+    """Hourly means of set point and room, and the commonest whole-number mode, fan speed and switch.
+
+    Readings are summed by hour and combination of labels, then by label, so that hash
+    aggregation with plain counters does all the work; the commonest label is the largest
+    (count, lowest value) packed into one number.
+    """
+    keys, labels, values = ["site", "ts", "unit"], ["mode", "fan_speed", "on_off"], ["set_temp", "indoor_temp"]
+    combined = readings.groupBy(
+        "site", F.date_trunc("hour", "ts").alias("ts"), "unit", *[_whole(F.col(c)).alias(c) for c in labels]
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(v).alias(f"{v}_sum") for v in values],
+        *[F.count(v).alias(f"{v}_n") for v in values],
+    )
+    sums = [f"{v}_{s}" for v in values for s in ("sum", "n")]
+
+    def vote(i, label):
+        # The sums travel with the first label only.
+        carried = [F.when(F.lit(i == 0), F.col(c)).alias(c) for c in sums]
+        return F.struct(F.lit(i).alias("label"), F.col(label).alias("value"), "n", *carried)
+
+    votes = combined.select(*keys, F.explode(F.array(*[vote(i, c) for i, c in enumerate(labels)])).alias("x"))
+    counted = votes.select(*keys, "x.*").groupBy(*keys, "label", "value").agg(*[F.sum(c).alias(c) for c in ("n", *sums)])
+    packed = F.when(F.col("value").isNotNull(), F.col("n") * _SPAN + (_LARGEST - F.col("value").cast("bigint")))
+    hours = counted.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in sums],
+        *[F.max(F.when(F.col("label") == i, packed)).alias(c) for i, c in enumerate(labels)],
+    )
+    return hours.select(
+        *keys,
+        *[steady(F.col(f"{v}_sum") / F.when(F.col(f"{v}_n") > 0, F.col(f"{v}_n"))).alias(v) for v in values],
+        *[(_LARGEST - F.pmod(F.col(c), F.lit(_SPAN))).cast("int").alias(c) for c in labels],
     )
 
 
@@ -68,13 +106,14 @@ def building_matrix(
 ) -> DataFrame:
     """Wide matrix of one building after the null policy.
 
-    Missing energy is 0. `drop_columns` removes columns that still hold a null.
+    Missing energy is 0. `drop_columns` removes columns that still hold a null: the matrix is
+    stored, one aggregate over it finds them, and the rest is read without them.
     """
     left = reshape.sensor_matrix(filled_hours(indoor), INDOOR, "unit", units)
     right = reshape.sensor_matrix(outdoor, ["total_kwh"], "odu", odus)
     kwh = [c for c in right.columns if c.startswith("total_kwh__")]
     wide = reshape.coalesce_all(left.join(right, ["site", "ts"], "left"), kwh, 0.0)
-    return reshape.columns_without_nulls(wide) if drop_columns else wide
+    return reshape.columns_without_nulls(stage(wide, "matrix")) if drop_columns else wide
 
 
 def features_and_targets(features: DataFrame, targets: DataFrame) -> DataFrame:
