@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from thermolane.operators import learning, matching, ordered, statistics as st
+from thermolane.constants import PLAN_SETTINGS
+from thermolane.operators import cleaning, learning, matching, ordered, reshape, statistics as st
 from thermolane.plans import building
 from tests.conftest import rows
 
@@ -100,3 +101,35 @@ def test_scenarios_clamp_the_units(frame, asked, running):
     forecast = frame("site string, ts timestamp, outdoor_temp double", ("S", "2024-01-01", None))
     row = learning.scenario_rows(forecast, ["on_off__a", "on_off__b", "mode__a", "outdoor_temp"], [(21.5, 1, 2, asked)]).first()
     assert (row.units_on_uniform, row.on_off__a + row.on_off__b, row.mode__a, row.outdoor_temp) == (running, running, 1.0, 0.0)
+
+
+def test_zones_outside_the_report_are_kept(frame):
+    plan = reshape_plan(frame)
+    wide = reshape.plan_wide(plan)
+    assert reshape.zones_of(wide) == ["Area 1", "Area 3", "Lobby_mode"]
+    back = reshape.plan_long(wide).where("ac_on_off IS NOT NULL")
+    assert sorted(r.zone for r in back.collect()) == ["Area 1", "Area 3", "Lobby_mode"]
+    assert reshape.zones_of(reshape.plan_wide(plan, ["Area 3"])) == ["Area 3"]
+
+
+def reshape_plan(frame):
+    kinds = {s: "double" if s in ("set_temp", "power") else "string" for s in PLAN_SETTINGS}
+    schema = "site string, datetime timestamp, forecast_outdoor_temp double, forecast_solar_radiation double, zone string, "
+    schema += ", ".join(f"{s} {k}" for s, k in kinds.items())
+    rest = [1.0 if k == "double" else "x" for k in kinds.values()]
+    return frame(schema, *[("S", "2024-02-01 08:00:00", 1.0, 2.0, z, *rest) for z in ("Lobby_mode", "Area 3", "Area 1")])
+
+
+def test_quality_summary_lists_zones_and_columns(frame):
+    df = frame("zone string, v double, w int", ("b", None, 1), ("a", 1.0, 1), (None, 1.0, 1), ("a", 2.0, 1))
+    assert rows(st.quality_summary(df)) == [(4, 3, "zone,v", ["a", "b"])]
+    assert rows(st.quality_summary(df.drop("zone"))) == [(4, 2, "v", [])]
+
+
+def test_categories_by_zone_and_their_report(frame):
+    df = frame("unit string, mode string, fan string", ("12 Hall 1", "cool", "x"), ("12 Hall 2", "cool", None), ("7", "cool", "LOW"), (None, "heat", "LOW"))
+    columns = {"mode": "mode", "fan": "fan_speed"}
+    got = rows(cleaning.zone_category_codes(df, columns), F.col("unit").asc_nulls_first())
+    assert got == [(None, "heat", "LOW"), ("12 Hall 1", "1", "0"), ("12 Hall 2", "1", None), ("7", "cool", "LOW")]
+    report = rows(cleaning.zone_category_report(df, columns), "column")
+    assert report == [("Hall", "fan", "x", 1, 0, True), ("Hall", "mode", "cool", 2, 1, False)]

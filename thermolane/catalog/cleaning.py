@@ -162,17 +162,21 @@ SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN 'Unknown'
 FROM part"""
 
 
+CODED = {"mode": "mode", "fan_speed": "fan_speed"}
+
+
+def _zone_named(spark, d):
+    """Units named after their fan speed; those without one tell no zone."""
+    name = F.concat("event_id", F.col("fan_speed"))
+    return V.readings(spark, d).select("event_id", name.alias("unit"), "mode", F.col("on_off").alias("fan_speed"))
+
+
 def _zone_coded(spark, d):
     """Codes per zone taken from the unit name; rows of zone Unknown keep their labels out."""
-    rows = V.readings(spark, d).withColumn(
-        "zone_name", names.zone_from_name(F.concat("event_id", F.col("fan_speed")))
-    )
-    known = F.col("zone_name") != "Unknown"
-    return rows.select(
-        "event_id",
-        "zone_name",
-        F.coalesce(F.when(known, cat.category_code(F.col("mode"), "mode")), F.lit(-1)).alias("code"),
-    )
+    rows = cleaning.zone_category_codes(_zone_named(spark, d), CODED)
+    zone = names.zone_from_name(F.col("unit"))
+    code = F.when(zone != "Unknown", F.col("mode").cast("int"))
+    return rows.select("event_id", zone.alias("zone_name"), F.coalesce(code, F.lit(-1)).alias("code"))
 
 
 QUERIES["zone_specific_codes"] = _zone_coded
@@ -181,6 +185,18 @@ SELECT event_id, coalesce(fan_speed, 'Unknown') AS zone_name,
        CASE WHEN fan_speed IS NULL THEN -1 ELSE {V.code('mode', 'mode')} END AS code
 FROM readings"""
 
+QUERIES["zone_category_report"] = lambda s, d: cleaning.zone_category_report(_zone_named(s, d), CODED)
+SQL["zone_category_report"] = _R + f""",
+cells AS (
+  SELECT fan_speed AS zone, 'mode' AS "column", mode AS value, {V.code('mode', 'mode')} AS code,
+         upper(trim(mode)) NOT IN ('OFF', 'COOL', 'HEAT', 'FAN') AS unmapped FROM readings
+  UNION ALL
+  SELECT fan_speed, 'fan_speed', on_off, {V.code('on_off', 'fan_speed')},
+         upper(trim(on_off)) NOT IN ('AUTO', 'LOW', 'MEDIUM', 'HIGH', 'TOP') FROM readings
+)
+SELECT zone, "column", value, count(*) AS rows, code, unmapped FROM cells
+WHERE zone IS NOT NULL AND value IS NOT NULL GROUP BY ALL"""
+
 QUERIES["code_to_label"] = lambda s, d: V.events(s, d).select(
     "event_id",
     cat.code_label(F.col("k") % 6, "mode").alias("mode_label"),

@@ -55,6 +55,19 @@ SQL["quality_profile"] = (
 )
 
 
+QUERIES["quality_summary"] = lambda s, d: st.quality_summary(
+    V.features(s, d).select(*_PROFILE)
+).withColumn("zones", F.array_join("zones", ","))
+SQL["quality_summary"] = (
+    V.features_sql()
+    + f""" SELECT count(*) AS total_rows, {len(_PROFILE)} AS total_columns,
+  array_to_string(list_filter([{', '.join(f"CASE WHEN count(*) > count({c}) THEN '{c}' END" for c in _PROFILE)}], lambda x: x IS NOT NULL), ',')
+    AS columns_with_nulls,
+  (SELECT string_agg(zone, ',' ORDER BY zone) FROM (SELECT DISTINCT zone FROM features WHERE zone IS NOT NULL)) AS zones
+FROM features"""
+)
+
+
 def _merge_quality(spark, d):
     """Zone hours of all readings against power of one phase group, so that gaps exist."""
     features = V.features(spark, d)

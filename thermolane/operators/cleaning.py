@@ -2,6 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from thermolane.functions.categories import category_code, lookup_code
+from thermolane.functions.names import zone_from_name
 from thermolane.functions.numeric import null_safe_sum
 
 
@@ -92,3 +94,39 @@ def time_first(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 def without_columns_like(df: DataFrame, parts=("_hist_", "_power", "_indoor_temp")) -> DataFrame:
     return df.select(*[f"`{c}`" for c in df.columns if not any(p in c for p in parts)])
+
+
+def zone_category_codes(df: DataFrame, columns: dict, name: str = "unit") -> DataFrame:
+    """Codes of categories by zone: `columns` maps a column to its kind (see `functions.categories`).
+
+    The zone is taken from the unit's name. Unknown labels get the kind's default; nulls stay
+    null. Rows whose name tells no zone keep their labels, as text, where codes are text too.
+    """
+    known = zone_from_name(F.col(name)) != "Unknown"
+    coded = {
+        c: F.when(known, category_code(F.col(c), kind).cast("string")).otherwise(F.col(c).cast("string"))
+        for c, kind in columns.items()
+    }
+    return df.withColumns(coded)
+
+
+def zone_category_report(df: DataFrame, columns: dict, name: str = "unit") -> DataFrame:
+    """(zone, column, value, rows, code, unmapped): what `zone_category_codes` does to each label.
+
+    One pass: labels are counted map-side by zone, so the report has a row per zone and label.
+    Rows whose name tells no zone, and nulls, are not mapped and not reported.
+    """
+    zone = zone_from_name(F.col(name)).alias("zone")
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    counts = (
+        df.select(zone, F.explode(cells).alias("x")).select("zone", "x.*")
+        .where((F.col("zone") != "Unknown") & F.col("value").isNotNull())
+        .groupBy("zone", "column", "value").agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+    def by_column(f):
+        return F.coalesce(*[F.when(F.col("column") == c, f(F.col("value"), kind)) for c, kind in columns.items()])
+
+    return counts.withColumns(
+        {"code": by_column(category_code), "unmapped": by_column(lambda x, kind: lookup_code(x, kind).isNull())}
+    )

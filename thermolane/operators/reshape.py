@@ -10,22 +10,43 @@ from thermolane.functions.temporal import month_label, plan_time
 _BASE = ["site", "datetime", "forecast_outdoor_temp", "forecast_solar_radiation"]
 
 
-def plan_wide(plan: DataFrame, zones=ZONE_ORDER) -> DataFrame:
-    """One row per time; columns `{zone}_{setting}` in the order of `zones`."""
+def plan_zones(plan: DataFrame) -> list[str]:
+    """The zones of a plan: those of the report in its order, then others by name.
+
+    The driver sees zone names, which become columns; one aggregate over the plan finds them.
+    """
+    found = {r.zone for r in plan.where(F.col("zone").isNotNull()).select("zone").distinct().collect()}
+    return [z for z in ZONE_ORDER if z in found] + sorted(found - set(ZONE_ORDER))
+
+
+def plan_wide(plan: DataFrame, zones=None) -> DataFrame:
+    """One row per time; columns `{zone}_{setting}`.
+
+    Every zone of the plan has its columns, unless `zones` names the zones to show, in order.
+    """
     return (
         plan.groupBy(*_BASE)
-        .pivot("zone", list(zones))
+        .pivot("zone", list(plan_zones(plan) if zones is None else zones))
         .agg(*[F.first(s).alias(s) for s in PLAN_SETTINGS])
     )
 
 
-def zones_of(wide: DataFrame, zones=ZONE_ORDER):
-    """Zones that have a column in a wide plan, in order."""
-    return [z for z in zones if any(c.startswith(f"{z}_") for c in wide.columns)]
+def zones_of(wide: DataFrame, zones=None):
+    """Zones that have a column in a wide plan: in the order of `zones`, or of the report and then as they stand."""
+    found = dict.fromkeys(
+        c.removesuffix(f"_{s}") for c in wide.columns if c not in _BASE for s in PLAN_SETTINGS if c.endswith(f"_{s}")
+        and not any(len(t) > len(s) and c.endswith(f"_{t}") for t in PLAN_SETTINGS)
+    )
+    if zones is not None:
+        return [z for z in zones if z in found]
+    return [z for z in ZONE_ORDER if z in found] + [z for z in found if z not in ZONE_ORDER]
 
 
-def plan_long(wide: DataFrame, zones=ZONE_ORDER) -> DataFrame:
-    """One row per time and zone. Settings differ in type, so structs are exploded."""
+def plan_long(wide: DataFrame, zones=None) -> DataFrame:
+    """One row per time and zone (all that have columns, or those of `zones`).
+
+    Settings differ in type, so structs are exploded.
+    """
     types = dict(wide.dtypes)
 
     def setting(zone, name):

@@ -241,6 +241,21 @@ def quality_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def quality_summary(df: DataFrame, zone: str = "zone") -> DataFrame:
+    """One row: how many rows and columns, columns with nulls, and the zones by name.
+
+    A frame without the zone column has no zones. Zones are counted as a set per task first.
+    """
+    some = [F.when(F.count_if(F.col(f"`{c}`").isNull()) > 0, F.lit(c)) for c in df.columns]
+    zones = F.collect_set(zone) if zone in df.columns else F.array().cast("array<string>")
+    return df.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.lit(len(df.columns)).alias("total_columns"),
+        F.array_join(F.array_compact(F.array(*some)), ",").alias("columns_with_nulls"),
+        F.array_sort(zones).alias("zones"),
+    )
+
+
 def merge_quality(zones: DataFrame, power: DataFrame) -> DataFrame:
     """How well power covers the zone hours: nulls, their span, and the common range."""
     joined = zones.select("site", "zone", "ts", "indoor_temp").join(
