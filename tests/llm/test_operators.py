@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 from thermolane.llm import jaccard_join, pii, sharding, suffix_dedup, url_rules
@@ -84,6 +85,37 @@ def test_suffix_dedup_is_exact(docs):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == want
 
 
+@pytest.mark.parametrize(("strings", "block"), [(1 << 20, 1 << 14), (50, 3)])
+def test_suffix_groups_in_passes(monkeypatch, strings, block):
+    """Many rows of one k-mer, most of them with the same bytes, against all strings of all rows."""
+    monkeypatch.setattr(suffix_dedup, "STRINGS", strings)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+    draw = random.Random(strings)
+    kinds = [bytes(draw.choice(b"ab") for _ in range(draw.randrange(4, 14))) for _ in range(12)]
+    rows = [(draw.randrange(3), draw.randrange(40), draw.randrange(1000), draw.choice(kinds[: draw.randrange(1, 13)])) for _ in range(400)]
+    s, doc, start = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+    got = set()
+    for d, a, b in zip(*suffix_dedup._repeats(s, doc, start, [r[3] for r in rows], 6), strict=True):
+        got.update((int(d), x) for x in range(a, b))
+    least = {}
+    for k, d, _, raw in rows:
+        for i in range(len(raw) - 5):
+            key = k, raw[i : i + 6]
+            least[key] = min(least.get(key, d), d)
+    want = {(d, a + i + j) for k, d, a, raw in rows for i in range(len(raw) - 5) if d > least[k, raw[i : i + 6]] for j in range(6)}
+    assert got == want
+
+
+def test_a_passage_in_thousands_of_documents(spark):
+    passage = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, f"{i * 7919} start {passage} end {i * 104729}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in suffix_dedup.remove_repeats(df).collect()}
+    assert found[0].n_removed == 0
+    for i, text in rows[1:]:
+        assert found[i].n_spans == 1 and len(passage) <= found[i].n_removed <= len(text), i
+
+
 def test_shards_are_near_equal_and_gapless(docs):
     rows = sharding.shard_by_bytes(docs, shards=4).collect()
     want = {r.doc_id: (r.text or "").encode() for r in docs.collect()}

@@ -25,6 +25,8 @@ LEAD = 24
 TAG_SHIFT = 40
 #: Suffixes compared at once within a bucket; a group of one k-mer is never cut.
 CHUNK = 20_000
+#: Strings compared at once, and rows hashed at once, within such a group.
+STRINGS, BLOCK = 1 << 20, 1 << 14
 NO_HASH = np.uint64(2**64 - 1)
 
 
@@ -106,30 +108,74 @@ def _suffix_rows(length: int):
     return run
 
 
-def _repeats(s, doc, start, around, length) -> tuple:
-    """(doc, from, to) of the runs in which each string also starts in a smaller document."""
+def _hits(s, owner, around, length) -> tuple[np.ndarray, np.ndarray]:
+    """(edges, hit) of the strings of each row: is the string in a row of a smaller document?
+
+    Strings are compared in passes by a hash of their own, so that a pass holds about STRINGS of them;
+    only a flag for each string is kept.
+    """
     sizes = np.fromiter(map(len, around), np.int64, len(around))
-    offset = np.concatenate([[0], np.cumsum(sizes)])
-    data = np.frombuffer(b"".join(around), np.uint8)
-    none = np.zeros(0, np.int64)
-    if len(data) < length:
-        return none, none, none
-    h = _grams(data, length)
     strings = np.maximum(sizes - length + 1, 0)
-    row = np.repeat(np.arange(len(around)), strings)
-    within = np.arange(len(row)) - np.repeat(np.cumsum(strings) - strings, strings)
-    at = offset[row] + within
-    string = h[at] ^ mixed(s[row].view(np.uint64))
-    owner = doc[row]
-    order = np.lexsort((owner, string))
-    new = np.concatenate([[True], string[order][1:] != string[order][:-1]])
-    least = owner[order][new][np.cumsum(new) - 1]
-    hit = np.zeros(len(row), bool)
-    hit[order] = owner[order] > least
-    before = np.concatenate([[False], hit[:-1] & (row[1:] == row[:-1])])
-    after = np.concatenate([hit[1:] & (row[1:] == row[:-1]), [False]])
-    first, last = np.flatnonzero(hit & ~before), np.flatnonzero(hit & ~after)
-    return owner[first], start[row[first]] + within[first], start[row[last]] + within[last] + length
+    edges = np.concatenate([[0], np.cumsum(strings)])
+    hit = np.zeros(int(edges[-1]), bool)
+    passes = np.uint64(len(hit) // STRINGS + 1)
+    for p in range(int(passes)):
+        found: list[tuple] = []
+        for a in range(0, len(around), BLOCK):
+            some = slice(a, a + BLOCK)
+            data = np.frombuffer(b"".join(around[some]), np.uint8)
+            if len(data) < length:
+                continue
+            h = _grams(data, length)
+            n = strings[some]
+            row = np.repeat(np.arange(len(n)), n)
+            within = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            string = h[(np.cumsum(sizes[some]) - sizes[some])[row] + within] ^ mixed(s[some][row].view(np.uint64))
+            mine = np.flatnonzero(string % passes == p)
+            found.append((string[mine], owner[some][row[mine]], edges[a] + mine))
+        if not found:
+            continue
+        string, who, place = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((who, string))
+        new = np.concatenate([[True], string[order][1:] != string[order][:-1]])
+        least = who[order][new][np.cumsum(new) - 1]
+        hit[place[order]] = who[order] > least
+    return edges, hit
+
+
+def _repeats(s, doc, start, around, length) -> tuple:
+    """(doc, from, to) of the runs in which each string also starts in a smaller document.
+
+    Rows with the same k-mer and bytes are one for the comparison, that of their smallest document: in
+    the others every string has started before.
+    """
+    keys = list(zip(s.tolist(), around, strict=True))
+    number: dict[tuple, int] = {}
+    same = np.fromiter((number.setdefault(k, len(number)) for k in keys), np.int64, len(keys))
+    least = np.full(len(number), np.iinfo(np.int64).max)
+    np.minimum.at(least, same, doc)
+    texts = [k[1] for k in number]
+    edges, hit = _hits(np.array([k[0] for k in number], np.int64), least, texts, length)
+    at = np.repeat(np.arange(len(texts)), np.diff(edges))
+    joined_before = np.concatenate([[False], hit[:-1] & (at[1:] == at[:-1])]) if len(hit) else hit
+    joined_after = np.concatenate([hit[1:] & (at[1:] == at[:-1]), [False]]) if len(hit) else hit
+    first, last = np.flatnonzero(hit & ~joined_before), np.flatnonzero(hit & ~joined_after)
+    # Runs of each distinct row go to the rows of its smallest document; later documents lose all of it.
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    later = np.flatnonzero((doc > least[same]) & (sizes[same] >= length))
+    own = np.flatnonzero(doc == least[same])
+    runs = np.bincount(at[first], minlength=len(texts)) if len(first) else np.zeros(len(texts), np.int64)
+    begin = np.cumsum(runs) - runs
+    n = runs[same[own]]
+    rows = np.repeat(own, n)
+    pick = np.repeat(begin[same[own]], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    low = first - edges[at[first]] if len(first) else first
+    high = last - edges[at[last]] + length if len(last) else last
+    return (
+        np.concatenate([doc[rows], doc[later]]),
+        np.concatenate([start[rows] + low[pick], start[later]]),
+        np.concatenate([start[rows] + high[pick], start[later] + sizes[same[later]]]),
+    )
 
 
 def _bucket_rows(length: int):
