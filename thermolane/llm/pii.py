@@ -191,9 +191,12 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", count_col: st
     columns = [c for c in docs.columns if c != count_col]
     docs = docs.select(*[F.col(f"`{c}`") for c in columns])
     text = F.col(f"`{text_col}`")
-    held = F.coalesce(text.rlike(PATTERN), F.lit(False))
+    # The pattern is run once over all texts; what it finds is stored beside them.
+    entities = F.coalesce(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), F.array().cast("array<string>"))
+    docs = stage(docs.withColumn("__found", entities), "marked")
+    held = F.size("__found") > 0
     mark = F.sha2(text, 256)
-    found = docs.where(held).select(mark.alias("__mark"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)).alias("found"))
+    found = docs.where(held).select(mark.alias("__mark"), F.col("__found").alias("found"))
     found = stage(found.groupBy("__mark").agg(F.any_value("found").alias("found")), "found")
     spread = found.select("__mark", F.posexplode("found").alias("at", "entity"))
     names = stage(assign_surrogates(spread.select("entity"), key), "surrogate_map")
@@ -210,4 +213,5 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", count_col: st
         *[(new.alias(c) if c == text_col else F.col(f"`{c}`")) for c in columns],
         F.size("__subs").cast("long").alias(count_col),
     )
-    return docs.where(~held).withColumn(count_col, F.lit(0).cast("long")).unionByName(changed)
+    rest = docs.where(~held).select(*[F.col(f"`{c}`") for c in columns], F.lit(0).cast("long").alias(count_col))
+    return rest.unionByName(changed)
