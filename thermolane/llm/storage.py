@@ -19,7 +19,9 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not (context.master == "local" or context.master.startswith("local[")):
         raise RuntimeError(f"set {SETTING} to a folder that the driver and all executors share")
-    return _local_roots.setdefault(context.applicationId, tempfile.mkdtemp(prefix="llm-"))
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="llm-")
+    return _local_roots[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
