@@ -36,14 +36,13 @@ def _counts(text) -> dict:
     count = {
         "words": r"\S+",
         "symbols": r"[#$%&*<>{}\\^~=_]{2,}",
+        "shouts": "!!",
         "capitals": r"\p{Lu}",
+        "bars": r" \| ",
         "function_words": function_word,
         "sentences": r"\p{L}[.?!](?:\s|$)",
     }
-    def literal(s):  # as regexp_count would, without a pattern
-        return ((F.length(text) - F.length(F.replace(text, F.lit(s), F.lit("")))) / len(s)).cast("int")
-
-    sizes = {"shouts": literal("!!"), "bars": literal(" | "), "chars": F.length(text), "lines": F.size(lines), "unlike": F.size(F.array_distinct(lines))}
+    sizes = {"chars": F.length(text), "lines": F.size(lines), "unlike": F.size(F.array_distinct(lines))}
     return sizes | {name: F.regexp_count(text, F.lit(p)) for name, p in count.items()}
 
 
