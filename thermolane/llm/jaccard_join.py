@@ -29,6 +29,8 @@ FILTER_BITS = 1 << 25
 FRAGMENT_SHIFT = np.uint64(HASH_BITS - 3)
 #: Shingles whose counter is beyond this are dealt over several groups.
 GROUP = 4096
+#: Sets that a task remembers, so as not to send their copies; copies beyond them go after the shuffle.
+SEEN = 1 << 20
 
 
 def _bucket(prints: np.ndarray) -> np.ndarray:
@@ -120,7 +122,7 @@ def _prefixes(width: int, shared, percent: int):
                     return new & ~np.isin(node, before)
 
                 node, row, key, n, place = _ordered(texts[i:j], width, levels, first_of_its_set)
-                seen = np.union1d(seen, node)
+                seen = np.union1d(seen, node) if len(seen) < SEEN else np.unique(node)
                 # Two linked sets share percent of the larger one at least, so also one of the first
                 # n - ceil(percent n) + 1 shingles of each.
                 first = place < n - -(-n * percent // 100) + 1
@@ -192,30 +194,45 @@ def _linked(pairs: DataFrame, texts: DataFrame, width: int, shared, percent: int
 
 
 def _candidates(shared_rows: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of documents that share a first shingle and are not yet known to be connected.
+    """Pairs of sets not yet known to be connected whose overlap in the first fragments may suffice.
 
-    Within a shingle, the most common component is compared with all others, not with itself.
+    Within a shingle, the most common component is compared with all others, not with itself. A pair
+    meets once at each first shingle that it shares; the count of meetings is its overlap so far.
     """
     rows = shared_rows.join(comps, "node", "left").withColumn("c", F.coalesce("component", "node"))
     rows = stage(rows.select("s", "node", "n", "place", "c"), "rows")
     by = rows.groupBy("s", "c").agg(F.count("*").alias("k"))
     most = by.groupBy("s").agg(F.max_by("c", F.struct("k", "c")).alias("most"), F.count("*").alias("parts"))
-    most = stage(most.where("parts > 1").select("s", "most"), "most")
-    mixed_rows = stage(rows.join(most, "s"), "mixed")
-    one = mixed_rows.where("c != most").select("s", F.col("node").alias("p"), F.col("n").alias("np"), F.col("place").alias("pp"), F.col("c").alias("cp"))
-    two = mixed_rows.select("s", F.col("node").alias("q"), F.col("n").alias("nq"), F.col("place").alias("pq"), F.col("c").alias("cq"))
-    met = one.join(two, "s").where("cp != cq").where(_may_link("np", "pp", "nq", "pq", percent))
-    return met.select(
-        F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"),
-        F.when(F.col("p") < F.col("q"), F.col("np")).otherwise(F.col("nq")).alias("na"),
-        F.when(F.col("p") < F.col("q"), F.col("nq")).otherwise(F.col("np")).alias("nb"),
-    ).distinct()
+    mixed_rows = stage(rows.join(most.where("parts > 1").select("s", "most"), "s"), "mixed")
+    discard(rows)
+    one = mixed_rows.where("c != most").select("s", F.struct("node", "n", "place").alias("p"), F.col("c").alias("cp"))
+    two = mixed_rows.select("s", F.struct("node", "n", "place").alias("q"), F.col("c").alias("cq"), "most")
+    once = (F.col("cq") == F.col("most")) | (F.col("p.node") < F.col("q.node"))
+    met = one.join(two, "s").where("cp != cq").where(once).where(_may_link("p", "q", percent))
+    met = met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+    return _hopeful(met, percent).select("a", "b", "na", "nb")
 
 
-def _may_link(n1: str, p1: str, n2: str, p2: str, percent: int) -> str:
-    """Length and position filter: what follows the first common shingle must still suffice."""
-    most = f"(1 + least({n1} - {p1}, {n2} - {p2}) - 1)"
-    return f"(100 + {percent}) * {most} >= {percent} * ({n1} + {n2})"
+def _may_link(p: str, q: str, percent: int) -> str:
+    """Whether one meeting allows a link: all before it, itself, and all that follows it are common."""
+    most = f"(least({p}.place, {q}.place) + 1 + least({p}.n - {p}.place, {q}.n - {q}.place) - 1)"
+    return f"(100 + {percent}) * {most} >= {percent} * ({p}.n + {q}.n)"
+
+
+def _hopeful(met: DataFrame, percent: int) -> DataFrame:
+    """(a, b, na, nb, k): pairs whose overlap in the first fragments, and all that may follow, suffice.
+
+    ``met`` has a row (a, b), each of (node, n, place), for every first shingle that a pair shares: k of
+    them. A common shingle after the last of them lies beyond the first shingles of a or of b.
+    """
+    pairs = met.groupBy(
+        F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb")
+    ).agg(F.count("*").alias("k"), F.max("a.place").alias("pa"), F.max("b.place").alias("pb"))
+    beyond = "(({0} * " + str(percent) + " + 99) div 100 - 1)"
+    most = (
+        f"k + greatest(least({beyond.format('na')}, nb - pb - 1), least({beyond.format('nb')}, na - pa - 1))"
+    )
+    return pairs.where(f"(100 + {percent}) * ({most}) >= {percent} * (na + nb)").drop("pa", "pb")
 
 
 def jaccard_components(
@@ -251,26 +268,28 @@ def jaccard_components(
         _prefixes(width, shared, percent), "s long, salt int, dealt boolean, node long, n int, place int"
     )
     size = F.count("*").over(Window.partitionBy("s", "salt"))
-    several = prefix.withColumn("k", size).where("k > 1 or dealt").select("s", "node", "n", "place")
-    shared_rows = stage(several.distinct(), "shared")
+    several = prefix.withColumn("k", size).where("k > 1 or dealt").select("s", "salt", "node", "n", "place")
+    # Copies of a set lie in the group of its shingle, so this needs no shuffle of its own.
+    shared_rows = stage(several.distinct().drop("salt"), "shared")
     # First every set meets the least node of its size band that it shares most shingles with.
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent)))
     banded = shared_rows.withColumn("band", band)
-    lead = stage(banded.groupBy("s", "band").agg(F.min_by(F.struct("node", "n", "place"), "node").alias("lead")), "lead")
-    near = banded.join(lead, ["s", "band"]).where("node != lead.node").where(
-        _may_link("n", "place", "lead.n", "lead.place", percent)
-    )
-    near = near.groupBy("node", "n", F.col("lead.node").alias("a"), F.col("lead.n").alias("na")).agg(F.count("*").alias("k"))
-    near = near.groupBy(F.col("node").alias("b"), F.col("n").alias("nb")).agg(
-        F.max_by(F.struct("a", "na"), F.struct("k", "a")).alias("lead")
-    )
+    lead = banded.groupBy("s", "band").agg(F.min_by(F.struct("node", "n", "place"), "node").alias("lead"))
+    met = banded.join(lead, ["s", "band"]).where("node != lead.node")
+    met = met.select(F.col("lead").alias("a"), F.struct("node", "n", "place").alias("b"))
+    # A shingle whose least node is another one is not counted for a pair, so here a pair that links may
+    # be left out; the second phase finds it, since its ends are not known to be connected.
+    near = _hopeful(met.where(_may_link("a", "b", percent)), percent)
+    near = near.groupBy("b", "nb").agg(F.max_by(F.struct("a", "na"), F.struct("k", "a")).alias("lead"))
     first = _linked(near.select("lead.a", "b", "lead.na", "nb"), texts, width, shared, percent)
     known = stage(connected_components(first), "known")
     rest = _linked(_candidates(shared_rows, known, percent), texts, width, shared, percent)
+    discard(shared_rows, known)
     groups = connected_components(first.union(rest))
     joined = stage(classes.join(groups, "node", "left").withColumn("c", F.coalesce("component", "node")), "joined")
     lowest = joined.groupBy("c").agg(F.min("rep").alias("component_id"))
     found = stage(joined.join(lowest, "c").select(F.col("node").alias("m1"), "component_id", "n_copies"), "components")
+    discard(classes, joined)
     # Rows without a set or an id stand alone; their key is null.
     key = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("m1"))
     alone = sets.where(key.isNull()).select("doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("n_copies"))
