@@ -64,6 +64,35 @@ def test_jaccard_join_is_exact(docs):
     assert len(found) == len(sets)
 
 
+def test_jaccard_join_near_its_bound(spark):
+    """Families of texts with shared passages and changes at all places: many pairs just over and under the bound."""
+    draw = random.Random(21)
+    word = [f"v{i}" for i in range(300)]
+    passage = [draw.choice(word) for _ in range(40)]
+    rows = []
+    for _ in range(12):
+        base = passage[: draw.randrange(0, 41)] + [draw.choice(word) for _ in range(draw.randrange(20, 120))]
+        for _ in range(25):
+            text = list(base)
+            for _ in range(draw.randrange(0, 5)):
+                at = draw.randrange(len(text))
+                text[at : at + draw.randrange(1, 3)] = [draw.choice(word) for _ in range(draw.randrange(0, 3))]
+            rows.append(" ".join(text[draw.randrange(0, 4) : len(text) - draw.randrange(0, 8)]))
+    rows += [" ".join(passage)] * 3 + [" ".join(passage[i:]) for i in range(12)]
+    order = list(range(len(rows)))
+    draw.shuffle(order)
+    docs = spark.createDataFrame([(i, rows[k]) for i, k in enumerate(order)], "doc_id long, text string")
+    sets = {}
+    for i, k in enumerate(order):
+        words = rows[k].split()
+        sets[i] = {tuple(words[j : j + 5]) for j in range(max(1, len(words) - 4))}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = roots(sets, links)
+    assert len(set(want.values())) > 30
+    found = jaccard_join.jaccard_components(docs).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == {i: (len(s), want[i]) for i, s in sets.items()}
+
+
 def test_jaccard_join_of_no_rows(docs):
     assert jaccard_join.jaccard_components(docs.limit(0)).collect() == []
 
