@@ -1,8 +1,9 @@
 """Near-duplicate vectors by a forest of random-projection trees with spill.
 
-Every tree cuts the vectors of a label again and again by the projection on a random direction of
-its own. Rows near a cut go to both sides. Vectors are compared only within leaves, in blocks of
-bounded size, and what passes the exact cosine test is united.
+Every tree cuts the vectors of a label again and again by the projection on a random direction, one
+for each tree and level; every node has a threshold of its own. Rows near a cut go to both sides.
+Vectors are compared only within leaves, in blocks of bounded size, and what passes the exact cosine
+test is united. Vectors are read once for every ``LEVELS`` levels; between, rows carry projections.
 """
 
 from __future__ import annotations
@@ -12,27 +13,50 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, DoubleType
 
 from .components import connected_components
 from .storage import discard, stage
 
 QUANTILES = [round(i / 40, 3) for i in range(1, 40)]
+#: Levels whose projections are taken in one pass over the vectors.
+LEVELS = 8
 
 
-def _directions(node: int, dim: int) -> np.ndarray:
-    return np.random.default_rng(node & 0xFFFFFFFFFFFFFFFF).standard_normal(dim)
+@pandas_udf(ArrayType(DoubleType()))
+def _unit(vectors: pd.Series) -> pd.Series:
+    """Scaled to length 1; null where null, empty, zero, or with null or non-finite components."""
 
+    def one(vector):
+        v = np.asarray([] if vector is None else vector, np.float64)
+        peak = np.abs(v).max(initial=0.0)  # taken out first, so that squares neither overflow nor vanish
+        if not np.isfinite(peak) or peak == 0:
+            return None
+        v = v / peak
+        return v / np.sqrt(v @ v)
 
-def _projection(vectors: pd.Series, nodes: pd.Series) -> pd.Series:
-    """Of each unit vector on the direction of its node, scaled to unit length."""
-    out, known = np.empty(len(nodes)), {}
-    for i, (vector, node) in enumerate(zip(vectors, nodes, strict=True)):
-        key = (node, len(vector))
-        if key not in known:
-            d = _directions(node, len(vector))
-            known[key] = d / np.linalg.norm(d)
-        out[i] = known[key] @ vector
-    return pd.Series(out)
+    return vectors.map(one)
+
+
+def _projections(trees: int, first_level: int):
+    """Of unit vectors on the unit directions of all trees and ``LEVELS`` levels, tree by tree."""
+
+    def project(vectors: pd.Series) -> pd.Series:
+        sizes = vectors.map(len)
+        out = pd.Series([None] * len(vectors), index=vectors.index, dtype=object)
+        for dim in sizes.unique():
+            directions = np.stack([
+                np.random.default_rng([tree, level, int(dim)]).standard_normal(dim)
+                for tree in range(trees) for level in range(first_level, first_level + LEVELS)
+            ])
+            directions /= np.linalg.norm(directions, axis=1, keepdims=True)
+            rows = np.flatnonzero(sizes == dim)
+            p = np.stack(vectors.iloc[rows].to_list()) @ directions.T
+            for row, values in zip(rows, p, strict=True):
+                out.iat[row] = values
+        return out
+
+    return pandas_udf(project, ArrayType(DoubleType()))
 
 
 def _cut(spill: float):
@@ -54,39 +78,41 @@ def _cut(spill: float):
 
 def _grow(vectors: DataFrame, trees: int, leaf: int, spill: float, max_depth: int) -> DataFrame:
     """(cid, leaf, blocks): the leaves of every vector, and into how many blocks a leaf is cut."""
-    tree = F.explode(F.sequence(F.lit(1), F.lit(trees))).alias("tree")
-    live = stage(
-        vectors.select("cid", "vec", F.size("vec").alias("dim"), "label", tree).select(
-            "cid", "vec", F.xxhash64(F.lit("root"), "label", "dim", "tree").alias("node")
-        ),
-        "nodes",
-    )
-    done, choose, projection = [], _cut(spill), pandas_udf(_projection, "double")
+    tree = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
+    blocks = F.ceil(F.col("n") / leaf).cast("int").alias("blocks")
+
+    def projected(first_level: int, *columns) -> DataFrame:
+        flat = vectors.select("cid", *columns, _projections(trees, first_level)("vec").alias("flat"))
+        rows = flat.select("cid", *[c for c in flat.columns if c not in ("cid", "flat")], "flat", tree)
+        return rows.withColumn("ps", F.slice("flat", F.col("tree") * LEVELS + 1, F.lit(LEVELS))).drop("flat")
+
+    root = F.xxhash64(F.lit("root"), "label", "dim", "tree").alias("node")
+    live = projected(0, "label", F.size("vec").alias("dim")).select("cid", "tree", root, "ps")
+    live, done, choose = stage(live, "nodes"), [], _cut(spill)
     for depth in range(max_depth + 1):
-        sizes = live.groupBy("node").agg(F.count("*").alias("n"))
+        if depth and depth % LEVELS == 0:
+            fresh = stage(live.drop("ps").join(projected(depth), ["cid", "tree"]), "nodes")
+            discard(live)
+            live = fresh
+        p = F.get("ps", F.lit(depth % LEVELS))
+        sizes = stage(live.groupBy("node").agg(F.count("*").alias("n")), "sizes")
         if depth == max_depth:
-            cuts = stage(sizes.select("node", "n", F.lit(None).cast("double").alias("t")), "cuts")
+            cuts = stage(sizes.withColumn("t", F.lit(None).cast("double")), "cuts")
         else:
-            large = live.join(sizes.where(F.col("n") > leaf), "node").withColumn("p", projection("vec", "node"))
-            seen = large.groupBy("node").agg(F.percentile_approx("p", QUANTILES, 2000).alias("q"))
+            large = live.join(sizes.where(F.col("n") > leaf), "node")
+            seen = large.groupBy("node").agg(F.percentile_approx(p, QUANTILES, 2000).alias("q"))
             seen = seen.withColumn("c", choose("q")).where("c.share <= 0.5").select("node", F.col("c.t").alias("t"))
             cuts = stage(sizes.join(seen, "node", "left"), "cuts")
-        blocks = F.ceil(F.col("n") / leaf).cast("int").alias("blocks")
         ends = live.join(cuts.where("t is null"), "node").select("cid", F.col("node").alias("leaf"), blocks)
         done.append(stage(ends, "leaves"))
-        if cuts.where("t is not null").isEmpty():
+        more = cuts.where("t is not null")
+        if more.isEmpty():
+            discard(live, sizes, cuts)
             break
-        p = live.join(cuts.where("t is not null"), "node").withColumn("p", projection("vec", "node"))
-        sides = F.array_compact(
-            F.array(F.when(F.expr(f"p <= t + {spill}"), 0), F.when(F.expr(f"p >= t - {spill}"), 1))
-        )
-        below = stage(
-            p.select("cid", "vec", "node", F.explode(sides).alias("side")).select(
-                "cid", "vec", F.xxhash64("node", "side").alias("node")
-            ),
-            "nodes",
-        )
-        discard(live)
+        sides = F.array_compact(F.array(F.when(p <= F.col("t") + spill, 0), F.when(p >= F.col("t") - spill, 1)))
+        below = live.join(more, "node").select("cid", "tree", "node", "ps", F.explode(sides).alias("side"))
+        below = stage(below.select("cid", "tree", F.xxhash64("node", "side").alias("node"), "ps"), "nodes")
+        discard(live, sizes, cuts)
         live = below
     out = done[0]
     for part in done[1:]:
@@ -141,7 +167,7 @@ def near_duplicates(
     label_col: str = "label",
     threshold: float = 0.93,
     trees: int = 8,
-    leaf: int = 1024,
+    leaf: int = 256,
     spill: float = 0.02,
     max_depth: int = 48,
 ) -> DataFrame:
@@ -162,20 +188,15 @@ def near_duplicates(
         F.col(label_col).alias("label"),
         F.col(vector_col).cast("array<double>").alias("vec"),
     )
-    finite = F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    # Scaled by the largest component first, so that squares neither overflow nor vanish.
-    peak = F.array_max(F.transform("vec", F.abs))
-    scaled = F.transform("vec", lambda v: v / peak)
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, v: s + v * v))
-    sound = F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("vec").isNotNull() & finite & (peak > 0)
-    one, two = F.xxhash64(F.lit(1), "label", "vec"), F.xxhash64(F.lit(2), "label", "vec")
-    keyed = stage(
-        rows.withColumn("ok", F.coalesce(sound, F.lit(False))).select(
-            "id", "label", F.when(F.col("ok"), F.transform(scaled, lambda v: v / norm)).alias("vec"),
-            F.when(F.col("ok"), one).alias("k1"), F.when(F.col("ok"), two).alias("k2"),
+    one, two = F.xxhash64(F.lit(1), "label", "raw"), F.xxhash64(F.lit(2), "label", "raw")
+    unit = stage(
+        rows.withColumnRenamed("vec", "raw").withColumn("vec", _unit("raw")).select(
+            "id", "label", "vec", one.alias("k1"), two.alias("k2"), F.col("vec").isNotNull().alias("sound")
         ),
         "vectors",
     )
+    sound = F.col("sound") & F.col("id").isNotNull() & F.col("label").isNotNull()
+    keyed = unit.withColumns({"k1": F.when(sound, F.col("k1")), "k2": F.when(sound, F.col("k2"))})
     classes = stage(
         keyed.where("k1 is not null")
         .groupBy("k1", "k2")
