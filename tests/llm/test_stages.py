@@ -79,3 +79,38 @@ def test_quality_agrees_with_held_out_labels(spark):
     good, bad = ([r.score for r in scored.collect() if r.quality == k] for k in (1, 0))
     pairs = sum((g > b) + 0.5 * (g == b) for g in good for b in bad)
     assert pairs / (len(good) * len(bad)) > 0.95
+
+
+def test_an_id_with_two_texts_loses_neither(spark):
+    draw = random.Random(3)
+    same, other = plain(draw, 60), " ".join(f"w{i}" for i in range(60))
+    rows = [(1, same, "en"), (2, same, "en"), (2, other, "en"), (3, other + " more", "en"), (3, "quite apart", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    kept = corpus_pipeline.keep_one_of_each(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == sorted([rows[0], rows[2], rows[4]])
+
+
+def judged(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {r.doc_id: r for r in decontaminate.mark_contaminated(docs, held).collect()}
+
+
+def test_numbers_alone_are_no_template(spark):
+    item = "count on: " + " ".join(map(str, range(1, 21)))
+    table = " ".join(map(str, range(5000, 7000)))
+    found = judged(spark, [table, f"so {item} and on", f"{table} {' '.join(map(str, range(1, 16)))}"], [item])
+    assert [found[i].contaminated for i in range(3)] == [False, True, True]
+    assert found[1].covered == 1.0
+
+
+def test_short_items_are_found_whole(spark):
+    items = ["What is seven plus five?", "Paris", "  ", None, "name the 3 green rivers of old Wales now please"]
+    texts = [
+        "He asked: what is seven plus five, and left.", "what is six plus five", "a night in Paris, he said", "a night in Parisian air",
+        "what is seven plus", None, "", "name the 4 green rivers of old Spain now please",
+    ]
+    found = judged(spark, texts, items)
+    assert [i for i in found if found[i].contaminated] == [0, 2, 7]
+    assert found[0].first_item == 0 and found[2].first_item == 1 and found[7].first_item == 4
