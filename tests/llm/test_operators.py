@@ -176,3 +176,34 @@ def test_surrogates_are_consistent_and_distinct(spark):
     assert "ann@site.org" not in found[1] and len(set(mails)) == 2
     assert found[2].startswith(mails[0].rstrip("."))
     assert found[3] is None and found[4] == ""
+
+
+def test_relative_links_are_resolved_as_urljoin_does(spark):
+    from urllib.parse import urljoin
+
+    bases = ["http://a.org/x/y.html", "http://a.org", "http://a.org/d/e/?q=1", "https://B.org/d/e?q=1#f"]
+    links = ["p2.html", "?x=1", "../a", "/z/./b/../c", "./", "../../../up/", "//c.org/k", "https://d.org/l?m", "g/h/..", "sub/?n=../o"]
+    rows = [(b, x) for b in bases for x in links]
+    df = spark.createDataFrame(rows, "base string, link string")
+    got = df.select("base", "link", url_rules.node_of(url_rules.absolute(df.link, df.base)).alias("node")).collect()
+    for r in got:
+        want = urljoin(r.base, r.link).partition("://")[2].replace("B.org", "b.org")
+        assert r.node == (want if "/" in want else want.replace("?", "/?") if "?" in want else want + "/"), (r.base, r.link)
+    apart = spark.createDataFrame([("http://a.org/x", x) for x in ["#top", "mailto:ann@site.org", "javascript:void(0)"]], "base string, link string")
+    assert all(r[0] is None for r in apart.select(url_rules.absolute(apart.link, apart.base)).collect())
+
+
+def test_aliases_pass_on_a_block(spark):
+    rules = spark.createDataFrame(URL_RULES, "rule_host string, rule_path string, action string")
+    link = '<link rel="canonical" href="{}">'
+    pages = [
+        (1, "http://a.net/es/b", None, 7), (2, "http://a.net/de/c", link.format("../es/b"), 7),
+        (3, "http://q.org/", '<meta http-equiv="refresh" content="0; url=http://a.net/de/c">', 7),
+        (4, "http://r.org/", "<!-- " + link.format("http://a.net/es/b") + " -->", 7),
+        (5, "http://s.org/", link.format("http://t.org/") + link.format("http://a.net/fr/d"), 7),
+        (6, "http://s.org/", None, 7), (None, None, None, None), (7, "http://u.org/" + "v" * 50_000, "w" * 50_000, 7),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, host int")
+    found = {r.page_id: r.verdict for r in url_rules.judge_pages(df, rules).collect()}
+    assert found == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "block", 6: "block", None: "allow", 7: "allow"}
+    assert url_rules.judge_pages(df.limit(0), rules).collect() == []

@@ -55,7 +55,7 @@ def _node(url: str) -> str:
 
 def _op6() -> str:
     from .registry import URL_RULES
-    from .url_rules import CANONICAL, HREF, REFRESH, REFRESH_URL
+    from .url_rules import CANONICAL, COMMENT, HREF, REFRESH, REFRESH_URL
 
     def q(pattern):
         return "'" + pattern.replace("'", "''") + "'"
@@ -63,14 +63,28 @@ def _op6() -> str:
     rules = ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)
     return f"""
 WITH RECURSIVE rules(rule_host, rule_path, action) AS (VALUES {rules}),
+bodies AS (SELECT url, regexp_replace(html, {q(COMMENT)}, '', 'g') AS html FROM pages),
 raw AS (
-  SELECT url, regexp_extract(regexp_extract(html, {q(CANONICAL)}), {q(HREF)}, 1) AS link FROM pages
-  UNION ALL SELECT url, regexp_extract(regexp_extract(html, {q(REFRESH)}), {q(REFRESH_URL)}, 1) FROM pages
-), full_links AS (
-  SELECT url, CASE WHEN starts_with(link, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || link
-    WHEN starts_with(link, '/') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || '://' || {_host("url")} || link
-    WHEN contains(link, '://') THEN link END AS target
+  SELECT url, regexp_extract(tag, {q(HREF)}, 1) AS link FROM (SELECT url, unnest(regexp_extract_all(html, {q(CANONICAL)})) AS tag FROM bodies)
+  UNION ALL SELECT url, regexp_extract(tag, {q(REFRESH_URL)}, 1) FROM (SELECT url, unnest(regexp_extract_all(html, {q(REFRESH)})) AS tag FROM bodies)
+), parts AS (
+  SELECT url, link, regexp_extract(url, '(?s)^(.*?)://', 1) AS scheme, {_host("url")} AS host, {_path("url")} AS here,
+    regexp_extract(link, '(?s)^([^?#]*)', 1) AS p, regexp_extract(link, '(?s)^[^?#]*(\\?[^#]*)', 1) AS query
   FROM (SELECT url, replace(link, '&amp;', '&') AS link FROM raw WHERE link <> '')
+), whole AS (
+  SELECT *, CASE WHEN starts_with(p, '/') THEN p WHEN p = '' THEN CASE WHEN here = '' THEN '/' ELSE here END
+    ELSE CASE WHEN contains(here, '/') THEN regexp_extract(here, '(?s)^(.*/)', 1) ELSE '/' END || p END AS w FROM parts
+), walked AS (
+  SELECT *, CASE WHEN regexp_matches(w, '/\\.\\.?(/|$)') THEN list_reduce(
+      list_prepend('', string_split(substr(CASE WHEN regexp_matches(w, '/\\.\\.?$') THEN w || '/' ELSE w END, 2), '/')),
+      lambda done, part: CASE part WHEN '.' THEN done WHEN '..' THEN regexp_replace(done, '/[^/]*$', '') ELSE done || '/' || part END
+    ) ELSE w END AS clean FROM whole
+), full_links AS (
+  SELECT url, CASE WHEN starts_with(link, '//') THEN scheme || ':' || link
+    WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
+    WHEN NOT starts_with(link, '#') AND NOT regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN scheme || '://' || host || clean || query
+    END AS target
+  FROM walked
 ), links AS (
   SELECT {_node("url")} AS a, {_node("target")} AS b, target FROM full_links
 ), urls AS (

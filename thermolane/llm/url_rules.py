@@ -9,7 +9,8 @@ from .components import connected_components
 from .storage import stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Patterns of links in a page's head; the same in Java and RE2.
+#: Patterns of links in a page, and of what is no part of it; the same in Java and RE2.
+COMMENT = r"(?s)<!--.*?-->"
 CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
 HREF = r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)"""
 REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
@@ -31,23 +32,53 @@ def node_of(url):
     return F.when(host != "", F.concat(host, F.when(rest == "", F.lit("/")).otherwise(rest)))
 
 
+def without_dots(path):
+    """The path with its ``.`` and ``..`` segments carried out; it begins with a slash."""
+    ended = F.when(path.rlike(r"/\.\.?$"), F.concat(path, F.lit("/"))).otherwise(path)
+
+    def step(done, segment):
+        return (
+            F.when(segment == ".", done).when(segment == "..", F.regexp_replace(done, r"/[^/]*$", ""))
+            .otherwise(F.concat(done, F.lit("/"), segment))
+        )
+
+    walked = F.aggregate(F.split(F.substring(ended, 2, 1 << 30), "/", -1), F.lit(""), step)
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), walked).otherwise(path)
+
+
 def absolute(link, base):
-    """The link as a full URL: relative to the base's scheme or host where it begins with a slash."""
+    """The link as a full URL, resolved against the base where it is relative.
+
+    Null for a link within the page, and for one of another kind, such as ``mailto:``.
+    """
     scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
+    site = F.concat(scheme, F.lit("://"), host_of(base))
+    path, query = F.regexp_extract(link, r"(?s)^([^?#]*)", 1), F.regexp_extract(link, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    here = path_of(base)
+    folder = F.regexp_extract(here, r"(?s)^(.*/)", 1)
+    whole = (
+        F.when(path.startswith("/"), path)
+        .when(path == "", F.when(here == "", F.lit("/")).otherwise(here))
+        .otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path))
+    )
     return (
         F.when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(scheme, F.lit("://"), host_of(base), link))
-        .when(link.contains("://"), link)
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+        .when(~link.startswith("#") & ~link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(site, without_dots(whole), query))
     )
 
 
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(a, b, target): a page's node, that of its canonical link or redirect, and the target URL."""
-    url, html = F.col(url_col), F.col(html_col)
-    found = F.array(
-        F.regexp_extract(F.regexp_extract(html, CANONICAL, 0), HREF, 1),
-        F.regexp_extract(F.regexp_extract(html, REFRESH, 0), REFRESH_URL, 1),
-    )
+    """(a, b, target): a page's node, that of each canonical link or redirect, and the target URL.
+
+    Links in comments are none.
+    """
+    url, html = F.col(url_col), F.regexp_replace(F.col(html_col), COMMENT, "")
+
+    def links_of(tag, address):
+        return F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda t: F.regexp_extract(t, address, 1))
+
+    found = F.concat(links_of(CANONICAL, HREF), links_of(REFRESH, REFRESH_URL))
     links = pages.select(url.alias("u"), F.explode(found).alias("link")).where("link != ''")
     links = links.withColumn("target", absolute(F.regexp_replace("link", "&amp;", "&"), F.col("u")))
     return links.select(node_of(F.col("u")).alias("a"), node_of(F.col("target")).alias("b"), "target").where(
