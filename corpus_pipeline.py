@@ -23,12 +23,20 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id.
 
-    Of rows that repeat an id and text one stays. Rows with a null id stay.
+    Rows are compared by a number of their own, so of rows that repeat an id each is judged by its own
+    text; rows with the id that stays are the same document and stay. Rows with a null id, and null,
+    empty and blank texts, stay.
     """
-    groups = jaccard_join.jaccard_components(docs)
-    gone = stage(groups.where("doc_id != component_id").select("doc_id").distinct(), "gone")
-    rest = docs.join(gone, "doc_id", "left_anti")
-    return rest.select(*docs.columns)
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = jaccard_join.jaccard_components(numbered, id_col=row).select(row, "component_id")
+    ids = numbered.select("doc_id", row).join(groups, row)
+    several = ids.groupBy("component_id").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    ids = ids.join(several.where("first != last"), "component_id").where("doc_id != first")
+    gone = stage(ids.select(row), "gone")
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
