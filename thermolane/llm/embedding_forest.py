@@ -91,29 +91,29 @@ def _grow(vectors: DataFrame, trees: int, leaf: int, spill: float, max_depth: in
     live, done, choose = stage(live, "nodes"), [], _cut(spill)
     for depth in range(max_depth + 1):
         if depth and depth % LEVELS == 0:
-            fresh = stage(live.drop("ps").join(projected(depth), ["cid", "tree"]), "nodes")
-            discard(live)
-            live = fresh
+            live = stage(live.drop("ps").join(projected(depth), ["cid", "tree"]), "nodes")
         p = F.get("ps", F.lit(depth % LEVELS))
-        sizes = stage(live.groupBy("node").agg(F.count("*").alias("n")), "sizes")
-        if depth == max_depth:
-            cuts = stage(sizes.withColumn("t", F.lit(None).cast("double")), "cuts")
-        else:
-            large = live.join(sizes.where(F.col("n") > leaf), "node")
-            seen = large.groupBy("node").agg(F.percentile_approx(p, QUANTILES, 2000).alias("q"))
-            seen = seen.withColumn("c", choose("q")).where("c.share <= 0.5").select("node", F.col("c.t").alias("t"))
-            cuts = stage(sizes.join(seen, "node", "left"), "cuts")
-        ends = live.join(cuts.where("t is null"), "node").select("cid", F.col("node").alias("leaf"), blocks)
-        done.append(stage(ends, "leaves"))
-        more = cuts.where("t is not null")
-        if more.isEmpty():
-            discard(live, sizes, cuts)
-            break
+        seen = live.groupBy("node").agg(F.count("*").alias("n"), F.percentile_approx(p, QUANTILES, 2000).alias("q"))
+        seen = seen.withColumn("c", choose("q"))
+        split = (F.col("n") > leaf) & (F.col("c.share") <= 0.5) & F.lit(depth < max_depth)
+        cuts = stage(seen.select("node", "n", F.when(split, F.col("c.t")).alias("t")), "cuts")
+        # Rows of leaves stay in their node, side null; the others go below their cut, above it, or both.
         sides = F.array_compact(F.array(F.when(p <= F.col("t") + spill, 0), F.when(p >= F.col("t") - spill, 1)))
-        below = live.join(more, "node").select("cid", "tree", "node", "ps", F.explode(sides).alias("side"))
-        below = stage(below.select("cid", "tree", F.xxhash64("node", "side").alias("node"), "ps"), "nodes")
-        discard(live, sizes, cuts)
-        live = below
+        sides = F.explode(F.when(F.col("t").isNull(), F.array(F.lit(None).cast("int"))).otherwise(sides)).alias("side")
+        dealt = live.join(cuts, "node").select("cid", "tree", "node", "ps", blocks, F.col("t").isNull().alias("ended"), sides)
+        dealt = stage(
+            dealt.select(
+                "cid", "tree", F.when(F.col("ended"), F.col("node")).otherwise(F.xxhash64("node", "side")).alias("node"),
+                F.when(~F.col("ended"), F.col("ps")).alias("ps"), "blocks", "ended",
+            ),
+            "nodes",
+        )
+        done.append(dealt.where("ended").select("cid", F.col("node").alias("leaf"), "blocks"))
+        more = not cuts.where("t is not null").isEmpty()
+        discard(live, cuts)
+        if not more:
+            break
+        live = dealt.where("not ended").select("cid", "tree", "node", "ps")
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
@@ -167,7 +167,7 @@ def near_duplicates(
     label_col: str = "label",
     threshold: float = 0.93,
     trees: int = 8,
-    leaf: int = 256,
+    leaf: int = 1024,
     spill: float = 0.02,
     max_depth: int = 48,
 ) -> DataFrame:
