@@ -207,6 +207,28 @@ def test_a_replayed_batch_changes_nothing(spark, frame, tmp_path):
     assert values(spark, str(out)) == [("a", 50), ("b", 2)]
 
 
+def test_open_hours_are_stored_and_replaced(spark, frame, tmp_path):
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    schema = "unit string, ts timestamp, v double"
+    start = lambda s: streaming.hourly_stream(s, ["unit"], "v", out, ck, open_hours=True)
+    run_stream(spark, frame, tmp_path, schema, start, [("a", "2024-03-01 01:10:00", 1.0), ("a", "2024-03-01 03:59:00", 4.0)])
+    run_stream(spark, frame, tmp_path, schema, start, [("a", "2024-03-01 03:10:00", 2.0), ("a", "2024-03-01 04:00:00", 8.0)])
+    got = rows(writers.read_upserted(spark, out).select("ts", "v", "samples"), "ts")
+    assert got == [(datetime(2024, 3, 1, 1), 1.0, 1), (datetime(2024, 3, 1, 3), 6.0, 2), (datetime(2024, 3, 1, 4), 8.0, 1)]
+
+
+def test_stream_hourly_has_every_hour_of_the_events(spark, frame, tmp_path):
+    from thermolane.catalog import ingest as queries
+
+    events = frame(
+        "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string",
+        (1, "2024-03-01 01:10:00", 21, "view", 1.0, "{}"), (2, "2024-03-01 03:59:00", 1, "view", 4.0, "{}"),
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    got = rows(queries.QUERIES["stream_hourly"](spark, str(tmp_path)).select("mesh_id", "ts", "value", "samples"), "ts")
+    assert got == [(1, datetime(2024, 3, 1, 1), 1.0, 1), (1, datetime(2024, 3, 1, 3), 4.0, 1)]
+
+
 def test_hours_are_stored_when_closed(spark, frame, tmp_path):
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
     schema = "unit string, ts timestamp, v double"

@@ -52,12 +52,14 @@ def ingest_stream(
 
 
 def hourly_stream(
-    stream: DataFrame, keys, value: str, path: str, checkpoint: str, lateness: str = "2 hours"
-):
+    stream: DataFrame, keys, value: str, path: str, checkpoint: str, lateness: str = "2 hours",
+    open_hours: bool = False,
+):
     """Hourly sums per key of closed hours: an hour is stored once, when the watermark passes its end.
 
     The watermark is the largest time seen less `lateness`; later rows of a closed hour are
-    dropped, and state is kept for open hours only. Open hours are not stored.
+    dropped, and state is kept for open hours only. Open hours are stored, as they stand after
+    each batch and replaced by the next, only with `open_hours`.
     """
     hourly = (
         stream.withWatermark("ts", lateness)
@@ -68,7 +70,7 @@ def hourly_stream(
     return (
         hourly.writeStream.foreachBatch(_merge(path, checkpoint, [*keys, "ts"], "ts"))
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
+        .outputMode("update" if open_hours else "append")
         .trigger(availableNow=True)
         .start()
     )
