@@ -160,6 +160,20 @@ def test_unit_plan(frame):
     assert wide["Date Time"] == "2024/02/01 08:00" and wide["u1_OnOFF"] == "ON" and wide["shared_Mode"] == "OFF"
 
 
+def test_rows_per_unit_and_time_are_not_grouped(frame):
+    plan = frame("site string, datetime timestamp, zone string, ac_on_off string, mode string, set_temp double, fan_speed string",
+                 *[("S", f"2024-02-01 {h:02d}:00:00", z, "ON", "COOL", t, "LOW") for h in (8, 9) for z, t in (("Area 1", 22.0), ("Area 3", 25.0), ("new", 20.0))],
+                 ("S", "2024-02-01 10:00:00", "Area 3", "ON", "HEAT", 26.0, "LOW"), ("T", "2024-02-01 08:00:00", "Area 1", "ON", "FAN", 21.0, "LOW"))
+    equipment = frame(EQUIPMENT, ("S", "Area 1", "1", "u1", 1.0), ("S", "Area 1", "2", "u1", 1.0), ("S", "Area 3", "2", "u2", 1.0),
+                      ("S", "new", "2", "u2", 1.0), ("S", "Area 1", "2", None, 1.0), ("T", "Area 1", "1", "u1", 1.0),
+                      ("S", "empty", "1", "u3", 1.0), (None, "Area 1", "1", "u4", 1.0), ("S", None, "1", "u5", 1.0))
+    units = reshape.unit_plan(plan, equipment)
+    got = sorted(((r.site, r.unit, r.datetime.hour, r.SetTemp) for r in units.collect()), key=str)
+    assert got == sorted([("S", None, 8, 22.0), ("S", None, 9, 22.0), ("S", "u1", 8, 22.0), ("S", "u1", 9, 22.0), ("S", "u2", 8, 25.0),
+                          ("S", "u2", 9, 25.0), ("S", "u2", 10, 26.0), ("T", "u1", 8, 21.0)], key=str)
+    assert "Aggregate" not in units._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_a_long_history_keeps_only_top_days(spark, forecast):
     """Every day is compared; a zone with nearly all rows still yields exactly the nearest days."""
     start = datetime(2020, 1, 1, 8)
