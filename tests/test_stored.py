@@ -145,6 +145,17 @@ def test_ingest_of_mixed_headers_folders_and_time_names(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "w" / "ac_control_rejects"))) == [("never", 1)]
 
 
+def test_ingest_reads_the_files_once(spark, tmp_path, monkeypatch):
+    """The table's change and the rejects work on what the parser made of the files, not on the files."""
+    land(tmp_path / "in" / "ac-control", "1.csv", "A/C Name,Datetime\nu1,2024/1/2 9:30\nu1, never \nu1,never\nu1,\n")
+    read, change, rejects = [], writers.upsert, ingest._rejects
+    monkeypatch.setattr(writers, "upsert", lambda df, *a, **k: (read.append(df), change(df, *a, **k))[1])
+    monkeypatch.setattr(ingest, "_rejects", lambda df: (read.append(df), rejects(df))[1])
+    ingest.ingest_folder(spark, str(tmp_path / "in"), str(tmp_path / "w"))
+    assert len(read) == 2 and all(f.endswith(".parquet") for df in read for f in df.inputFiles())
+    assert rows(spark.read.parquet(str(tmp_path / "w" / "ac_control_rejects"))) == [("never", 2)]
+
+
 TIMES = {
     "2024-01-05 10:20:30": "2024-01-05 10:20:30", "2024-1-5 1:02": "2024-01-05 01:02:00", "2024-01-05T10:20:30Z": "2024-01-05 10:20:30",
     "2024-01-05 10:20:30.5+09:00": "2024-01-05 01:20:30.5", "2024/1/5 1:02:03": "2024-01-05 01:02:03", "2024.1.5": "2024-01-05 00:00:00",

@@ -1,6 +1,6 @@
 """Raw CSV logs to warehouse tables, and facility extracts from them."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from thermolane import constants as C
 from thermolane.functions.categories import strict_code
@@ -11,6 +11,8 @@ from thermolane.operators.cleaning import require_filled
 from thermolane.sources import readers, writers
 from thermolane.sources.staging import stage
 
+#: The time as it stands in the file, beside the columns of the table.
+_TEXT = "__time_text"
 SCHEMAS = {"ac_control": C.AC_CONTROL_SCHEMA, "power_meter": C.POWER_METER_SCHEMA}
 
 
@@ -21,6 +23,10 @@ def to_warehouse(raw: DataFrame, data_type: str) -> DataFrame:
     `functions.temporal`); a time without an offset is local. Text that does not fit its type becomes null, and
     rows without a full key go.
     """
+    return require_filled(raw.select(*_warehouse_columns(raw, data_type)), C.RAW_KEYS[data_type])
+
+
+def _warehouse_columns(raw: DataFrame, data_type: str) -> list[Column]:
     types = {f.name: f.dataType for f in SCHEMAS[data_type].fields}
     when = time_text(raw)
     columns = [] if when is None else [assume_local(when).alias("Datetime")]
@@ -28,7 +34,7 @@ def to_warehouse(raw: DataFrame, data_type: str) -> DataFrame:
         name = warehouse_name(heading)
         if name != "Datetime" and name in types or (data_type == "ac_control" and name.endswith(C.LEVEL_SUFFIX)):
             columns.append(_typed(heading, types.get(name, T.LongType())).alias(name))
-    return require_filled(raw.select(*columns), C.RAW_KEYS[data_type])
+    return columns
 
 
 def _typed(heading: str, kind: T.DataType):
@@ -44,6 +50,9 @@ def ingest_folder(spark: SparkSession, landing: str, warehouse: str) -> None:
     Files are routed by name or folder, and columns matched by heading, so files of one type
     may differ in the order and number of their columns. Loading the same files again changes
     nothing. Times that could not be read are counted in `<type>_rejects`.
+
+    The files are read and their times parsed once; what the parser made of them is stored, and the
+    table's change, which looks at its batch several times, and the rejects read that.
     """
     headers = stage(readers.with_data_type(readers.csv_headers(spark, landing)), "headers")
     for data_type in SCHEMAS:
@@ -51,19 +60,30 @@ def ingest_folder(spark: SparkSession, landing: str, warehouse: str) -> None:
             raw = readers.read_by_header(spark, headers.where(F.col("data_type") == data_type))
         except FileNotFoundError:
             continue
-        rows = to_warehouse(raw.drop("source", "source_file"), data_type)
+        raw = raw.drop("source", "source_file")
+        when = _checked_time_text(raw)
+        typed = stage(raw.select(*_warehouse_columns(raw, data_type), F.trim(when).alias(_TEXT)), "typed")
+        rows = require_filled(typed.drop(_TEXT), C.RAW_KEYS[data_type])
         writers.upsert(rows, f"{warehouse}/{data_type}_raw", C.RAW_KEYS[data_type], "Datetime")
-        rejects = rejected_times(raw)
+        rejects = _rejects(typed.select(F.col(_TEXT).alias("text"), "Datetime"))
         rejects.write.mode("overwrite").parquet(f"{warehouse}/{data_type}_rejects")
 
 
 def rejected_times(raw: DataFrame) -> DataFrame:
     """(text, rows): filled times that no form reads, and in how many rows each stands."""
+    text = F.trim(_checked_time_text(raw)).alias("text")
+    return _rejects(raw.select(text).withColumn("Datetime", parse_time(F.col("text"))))
+
+
+def _checked_time_text(raw: DataFrame) -> Column:
     when = time_text(raw)
     if when is None:
         raise ValueError(f"no time column among {raw.columns}")
-    text = F.trim(when)
-    bad = raw.select(text.alias("text")).where((F.col("text") != "") & parse_time(F.col("text")).isNull())
+    return when
+
+
+def _rejects(times: DataFrame) -> DataFrame:
+    bad = times.where((F.col("text") != "") & F.col("Datetime").isNull())
     return bad.groupBy("text").agg(F.count(F.lit(1)).alias("rows"))
 
 
