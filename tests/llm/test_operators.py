@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from thermolane.llm import jaccard_join, pii, sharding, suffix_dedup, url_rules
@@ -93,6 +94,42 @@ def test_jaccard_join_near_its_bound(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == {i: (len(s), want[i]) for i, s in sets.items()}
 
 
+def test_jaccard_join_compares_few_pairs_of_a_large_group(spark, monkeypatch):
+    """Copies of one text with a few changes, too many for a link in a third of them: pairs stay in proportion to rows."""
+    draw = random.Random(5)
+    base = [f"b{draw.randrange(10**6)}" for _ in range(150)]
+    rows = [" ".join(base)]
+    for i in range(300):
+        text = list(base)
+        for at in draw.sample(range(10, 140), 6 if i % 3 == 0 else draw.randrange(1, 4)):
+            text[at] = f"c{draw.randrange(10**6)}"
+        rows.append(" ".join(text))
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in enumerate(r.split() for r in rows)}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    compared, linked = [], jaccard_join._linked
+
+    def counted(pairs, *rest):
+        pairs = jaccard_join.stage(pairs, "compared")
+        compared.append(pairs.count())
+        return linked(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "_linked", counted)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs).collect()}
+    assert found == roots(sets, links)
+    assert sum(compared) <= 4 * len(rows)
+
+
+def test_jaccard_join_counts_no_single_shingles():
+    """Shingles that occur once fill no counter, however many there are; those of a common passage do."""
+    passage = " ".join(f"p{i}" for i in range(12))
+    texts = [" ".join(f"t{i}x{j}" for j in range(400)) + " " + passage for i in range(50)] + ["a b c d e f g"] * 9
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    out = pa.Table.from_batches(list(jaccard_join._profiles(5)(iter([batch]))))
+    counts = np.concatenate([np.frombuffer(raw, np.int32) for raw in out["counts"].drop_null().to_pylist()])
+    assert sorted(counts[counts > 0]) == [49] * 8
+
+
 def test_jaccard_join_of_no_rows(docs):
     assert jaccard_join.jaccard_components(docs.limit(0)).collect() == []
 

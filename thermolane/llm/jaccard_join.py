@@ -8,6 +8,7 @@ overlap of a pair is counted in each fragment on its own, and summed.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,11 @@ from .components import connected_components
 from .storage import discard, stage
 from .textbytes import in_pieces, mixed, shingles
 
-#: Counters of document frequency: a fixed number, so that what is broadcast never grows.
+#: Counters of repeated shingles: a fixed number, so that what is broadcast never grows.
 SKETCH_BITS = 20
+#: Shingles among which a task counts repeats. Those that occur once there, nearly all, fill no counter, so
+#: that a common one stands out however many there are.
+BLOCK = 1 << 22
 CHUNK_BITS = 12
 #: A key of the global order is 5 bits for the frequency class and 58 bits of the fingerprint.
 HASH_BITS = 58
@@ -29,6 +33,8 @@ FILTER_BITS = 1 << 25
 FRAGMENT_SHIFT = np.uint64(HASH_BITS - 3)
 #: Shingles whose counter is beyond this are dealt over several groups.
 GROUP = 4096
+#: Shingles of a set of n beyond its first ones.
+BEYOND = "(({n} * {percent} + 99) div 100 - 1)"
 #: Sets that a task remembers, so as not to send their copies; copies beyond them go after the shuffle.
 SEEN = 1 << 20
 
@@ -37,24 +43,43 @@ def _bucket(prints: np.ndarray) -> np.ndarray:
     return (prints >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
+def _first_of_its_set(node: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """One row of each set that is not in ``before``: copies add nothing."""
+    new = np.zeros(len(node), bool)
+    new[np.unique(node, return_index=True)[1]] = True
+    return new & ~np.isin(node, before)
+
+
+def _repeats(block: list[np.ndarray]) -> np.ndarray:
+    """Per counter how often its shingles occur again among those of the block."""
+    h = np.sort(np.concatenate([np.zeros(0, np.uint64), *block]))
+    return np.bincount(_bucket(h[1:][h[1:] == h[:-1]]), minlength=1 << SKETCH_BITS)
+
+
 def _profiles(width: int):
     """Per document its set size and a 128-bit fingerprint of the set; per task its counters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        block, held, seen = [], 0, np.zeros(0, np.int64)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for i, j in in_pieces(texts):
                 row, h = shingles(texts[i:j], width)
-                counts += np.bincount(_bucket(h), minlength=len(counts))
                 n = np.bincount(row, minlength=j - i)
                 marks = [_mark(h, n, 1), _mark(h, n, 2)]
+                block.append(h[_first_of_its_set(marks[0], seen)[row]])
+                held, seen = held + len(block[-1]), np.union1d(seen, marks[0])
+                if held >= BLOCK:
+                    counts += _repeats(block)
+                    block, held, seen = [], 0, seen[:0]
                 none = pa.nulls(j - i, pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(i, j - i), pa.array(n), pa.array(marks[0]), pa.array(marks[1]),
                      pa.nulls(j - i, pa.int32()), none],
                     ["doc_id", "n", "m1", "m2", "chunk", "counts"],
                 )
+        counts += _repeats(block)
         parts = np.minimum(counts, 2**31 - 1).astype(np.int32).reshape(-1, 1 << CHUNK_BITS)
         some = np.flatnonzero(parts.any(1))
         empty = pa.nulls(len(some), pa.int64())
@@ -70,12 +95,12 @@ def _summed(key, group):
     total = np.zeros(1 << CHUNK_BITS, np.int64)
     for raw in group["counts"]:
         total += np.frombuffer(raw, np.int32)
-    level = np.ceil(np.log2(np.maximum(total, 1))).astype(np.uint8)
+    level = np.ceil(np.log2(total + 1)).astype(np.uint8)
     return group.iloc[:1][["chunk"]].assign(counts=[level.tobytes()])
 
 
 def _levels(profiles: DataFrame) -> np.ndarray:
-    """log2 of each counter, rounded up: one byte for each of the fixed number of counters."""
+    """log2 of one more than each counter, rounded up: one byte for each of the fixed number of counters."""
     parts = profiles.where("chunk is not null").select("chunk", "counts")
     rows = parts.groupBy("chunk").applyInPandas(_summed, "chunk int, counts binary").collect()
     out = np.zeros(1 << SKETCH_BITS, np.uint8)
@@ -113,15 +138,7 @@ def _prefixes(width: int, shared, percent: int):
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for i, j in in_pieces(texts):
-                before = seen
-
-                def first_of_its_set(node, before=before):
-                    """One row of each set in this task: copies add nothing."""
-                    new = np.zeros(len(node), bool)
-                    new[np.unique(node, return_index=True)[1]] = True
-                    return new & ~np.isin(node, before)
-
-                node, row, key, n, place = _ordered(texts[i:j], width, levels, first_of_its_set)
+                node, row, key, n, place = _ordered(texts[i:j], width, levels, partial(_first_of_its_set, before=seen))
                 seen = np.union1d(seen, node) if len(seen) < SEEN else np.unique(node)
                 # Two linked sets share percent of the larger one at least, so also one of the first
                 # n - ceil(percent n) + 1 shingles of each.
@@ -197,42 +214,58 @@ def _candidates(shared_rows: DataFrame, comps: DataFrame, percent: int) -> DataF
     """Pairs of sets not yet known to be connected whose overlap in the first fragments may suffice.
 
     Within a shingle, the most common component is compared with all others, not with itself. A pair
-    meets once at each first shingle that it shares; the count of meetings is its overlap so far.
+    meets where a shingle may be the first that it shares and still leave enough for a link.
     """
     rows = shared_rows.join(comps, "node", "left").withColumn("c", F.coalesce("component", "node"))
     rows = stage(rows.select("s", "node", "n", "place", "c"), "rows")
     by = rows.groupBy("s", "c").agg(F.count("*").alias("k"))
     most = by.groupBy("s").agg(F.max_by("c", F.struct("k", "c")).alias("most"), F.count("*").alias("parts"))
-    mixed_rows = stage(rows.join(most.where("parts > 1").select("s", "most"), "s"), "mixed")
+    several = rows.join(most.where("parts > 1").select("s", "most"), "s")
+    # Only these shingles can be common to an unknown pair: so many follow each in a node at most.
+    mine = Window.partitionBy("node")
+    rest = F.count("*").over(mine) - F.row_number().over(mine.orderBy("place")) + F.expr(BEYOND.format(n="n", percent=percent))
+    mixed_rows = stage(several.withColumn("rest", rest).drop("place"), "mixed")
     discard(rows)
-    one = mixed_rows.where("c != most").select("s", F.struct("node", "n", "place").alias("p"), F.col("c").alias("cp"))
-    two = mixed_rows.select("s", F.struct("node", "n", "place").alias("q"), F.col("c").alias("cq"), "most")
+    one = mixed_rows.where("c != most").select("s", F.struct("node", "n", "rest").alias("p"), F.col("c").alias("cp"))
+    two = mixed_rows.select("s", F.struct("node", "n", "rest").alias("q"), F.col("c").alias("cq"), "most")
     once = (F.col("cq") == F.col("most")) | (F.col("p.node") < F.col("q.node"))
-    met = one.join(two, "s").where("cp != cq").where(once).where(_may_link("p", "q", percent))
+    may_link = f"(100 + {percent}) * (1 + least(p.rest, q.rest)) >= {percent} * (p.n + q.n)"
+    met = one.join(two, "s").where("cp != cq").where(once).where(may_link)
     met = met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
-    return _hopeful(met, percent).select("a", "b", "na", "nb")
+    pairs = met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"))
+    return _hopeful(pairs.distinct(), mixed_rows, percent)
 
 
-def _may_link(p: str, q: str, percent: int) -> str:
-    """Whether one meeting allows a link: all before it, itself, and all that follows it are common."""
-    most = f"(least({p}.place, {q}.place) + 1 + least({p}.n - {p}.place, {q}.n - {q}.place) - 1)"
-    return f"(100 + {percent}) * {most} >= {percent} * ({p}.n + {q}.n)"
+def _hopeful(pairs: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, na, nb) whose overlap in the first fragments, and all that may follow, suffice.
+
+    ``firsts`` has the first shingles (s) of each node that others have. Any other common shingle lies
+    beyond the first ones of the node whose first ones end earlier.
+    """
+    lists = firsts.groupBy("node").agg(F.collect_list("s").alias("first"))
+    both = pairs.join(lists.select(F.col("node").alias("a"), F.col("first").alias("x")), "a")
+    both = both.join(lists.select(F.col("node").alias("b"), F.col("first").alias("y")), "b")
+    most = "size(array_intersect(x, y)) + " + BEYOND.format(n="greatest(na, nb)", percent=percent)
+    return both.where(f"(100 + {percent}) * ({most}) >= {percent} * (na + nb)").select("a", "b", "na", "nb")
 
 
-def _hopeful(met: DataFrame, percent: int) -> DataFrame:
-    """(a, b, na, nb, k): pairs whose overlap in the first fragments, and all that may follow, suffice.
+def _nearest(met: DataFrame, percent: int) -> DataFrame:
+    """(a, b, na, nb): for each node b the lead a that most of its first shingles have, and that of the rarest.
 
-    ``met`` has a row (a, b), each of (node, n, place), for every first shingle that a pair shares: k of
-    them. A common shingle after the last of them lies beyond the first shingles of a or of b.
+    ``met`` has a row (node, n, place, lead) for every first shingle of a node that others have. A shingle that
+    a and b share may have another lead, so all those of b count as shared with a. A pair that links may
+    be left out here; the second phase finds it, since its ends are not known to be connected.
     """
-    pairs = met.groupBy(
-        F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb")
-    ).agg(F.count("*").alias("k"), F.max("a.place").alias("pa"), F.max("b.place").alias("pb"))
-    beyond = "(({0} * " + str(percent) + " + 99) div 100 - 1)"
-    most = (
-        f"k + greatest(least({beyond.format('na')}, nb - pb - 1), least({beyond.format('nb')}, na - pa - 1))"
+    own = met.groupBy("node", "n", F.struct("lead.node", "lead.n").alias("lead")).agg(
+        F.count("*").alias("k"), F.min("place").alias("place")
     )
-    return pairs.where(f"(100 + {percent}) * ({most}) >= {percent} * (na + nb)").drop("pa", "pb")
+    other = F.col("lead.node") != F.col("node")
+    best, rarest = F.max_by("lead", F.when(other, F.struct("k", "lead"))), F.min_by("lead", F.when(other, F.struct("place", "lead")))
+    both = own.groupBy(F.col("node").alias("b"), F.col("n").alias("nb")).agg(F.sum("k").alias("k"), F.array(best, rarest).alias("leads"))
+    pairs = both.select("b", "nb", "k", F.explode(F.array_distinct("leads")).alias("lead")).where("lead is not null")
+    pairs = pairs.select(F.col("lead.node").alias("a"), "b", F.col("lead.n").alias("na"), "nb", "k")
+    most = "k + " + BEYOND.format(n="greatest(na, nb)", percent=percent)
+    return pairs.where(f"(100 + {percent}) * ({most}) >= {percent} * (na + nb)").drop("k")
 
 
 def jaccard_components(
@@ -271,17 +304,13 @@ def jaccard_components(
     several = prefix.withColumn("k", size).where("k > 1 or dealt").select("s", "salt", "node", "n", "place")
     # Copies of a set lie in the group of its shingle, so this needs no shuffle of its own.
     shared_rows = stage(several.distinct().drop("salt"), "shared")
-    # First every set meets the least node of its size band that it shares most shingles with.
+    # First every set meets, of its size band, a node that has fewest rarer shingles before a shared one: among
+    # near copies that is the text they were made from, or for a rare shingle the copy with least other changes.
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent)))
     banded = shared_rows.withColumn("band", band)
-    lead = banded.groupBy("s", "band").agg(F.min_by(F.struct("node", "n", "place"), "node").alias("lead"))
-    met = banded.join(lead, ["s", "band"]).where("node != lead.node")
-    met = met.select(F.col("lead").alias("a"), F.struct("node", "n", "place").alias("b"))
-    # A shingle whose least node is another one is not counted for a pair, so here a pair that links may
-    # be left out; the second phase finds it, since its ends are not known to be connected.
-    near = _hopeful(met.where(_may_link("a", "b", percent)), percent)
-    near = near.groupBy("b", "nb").agg(F.max_by(F.struct("a", "na"), F.struct("k", "a")).alias("lead"))
-    first = _linked(near.select("lead.a", "b", "lead.na", "nb"), texts, width, shared, percent)
+    lead = banded.groupBy("s", "band").agg(F.min_by(F.struct("node", "n", "place"), F.struct("place", "node")).alias("lead"))
+    near = _nearest(banded.join(lead, ["s", "band"]).select("node", "n", "place", "lead"), percent)
+    first = _linked(near, texts, width, shared, percent)
     known = stage(connected_components(first), "known")
     rest = _linked(_candidates(shared_rows, known, percent), texts, width, shared, percent)
     discard(shared_rows, known)
