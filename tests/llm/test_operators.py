@@ -120,6 +120,22 @@ def test_jaccard_join_compares_few_pairs_of_a_large_group(spark, monkeypatch):
     assert sum(compared) <= 4 * len(rows)
 
 
+def test_jaccard_join_of_pairs_of_unlike_size(spark):
+    """A text and a part of it around the bound: first shingles of the longer one may lie beyond those of the part."""
+    draw = random.Random(9)
+    rows = []
+    for k in range(80):
+        words = [f"u{k}x{j}" for j in range(draw.randrange(40, 160))]
+        few = max(5, round((len(words) - 4) * draw.choice([0.78, 0.8, 0.81, 0.82, 0.85])) + 4)
+        rows += [" ".join(words), " ".join(words[:few])]
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in enumerate(r.split() for r in rows)}
+    links = [(a, a + 1) for a in range(0, len(rows), 2) if 100 * len(sets[a] & sets[a + 1]) >= 80 * len(sets[a] | sets[a + 1])]
+    assert 20 < len(links) < 80
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs).collect()}
+    assert found == roots(sets, links)
+
+
 def test_jaccard_join_counts_no_single_shingles():
     """Shingles that occur once fill no counter, however many there are; those of a common passage do."""
     passage = " ".join(f"p{i}" for i in range(12))

@@ -221,15 +221,18 @@ def _candidates(shared_rows: DataFrame, comps: DataFrame, percent: int) -> DataF
     by = rows.groupBy("s", "c").agg(F.count("*").alias("k"))
     most = by.groupBy("s").agg(F.max_by("c", F.struct("k", "c")).alias("most"), F.count("*").alias("parts"))
     several = rows.join(most.where("parts > 1").select("s", "most"), "s")
-    # Only these shingles can be common to an unknown pair: so many follow each in a node at most.
+    # Only these can be common to an unknown pair among the first shingles of both: so many follow each in a node.
     mine = Window.partitionBy("node")
-    rest = F.count("*").over(mine) - F.row_number().over(mine.orderBy("place")) + F.expr(BEYOND.format(n="n", percent=percent))
-    mixed_rows = stage(several.withColumn("rest", rest).drop("place"), "mixed")
+    after = F.count("*").over(mine) - F.row_number().over(mine.orderBy("place"))
+    mixed_rows = stage(several.withColumn("after", after), "mixed")
     discard(rows)
-    one = mixed_rows.where("c != most").select("s", F.struct("node", "n", "rest").alias("p"), F.col("c").alias("cp"))
-    two = mixed_rows.select("s", F.struct("node", "n", "rest").alias("q"), F.col("c").alias("cq"), "most")
+    one = mixed_rows.where("c != most").select("s", F.struct("node", "n", "place", "after").alias("p"), F.col("c").alias("cp"))
+    two = mixed_rows.select("s", F.struct("node", "n", "place", "after").alias("q"), F.col("c").alias("cq"), "most")
     once = (F.col("cq") == F.col("most")) | (F.col("p.node") < F.col("q.node"))
-    may_link = f"(100 + {percent}) * (1 + least(p.rest, q.rest)) >= {percent} * (p.n + q.n)"
+    # A common shingle that is not among the first of both lies beyond those of the node whose first ones end earlier.
+    beyond = BEYOND.format(n="greatest(p.n, q.n)", percent=percent)
+    left = f"least(1 + least(p.after, q.after) + {beyond}, p.n - p.place, q.n - q.place)"
+    may_link = f"(100 + {percent}) * {left} >= {percent} * (p.n + q.n)"
     met = one.join(two, "s").where("cp != cq").where(once).where(may_link)
     met = met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
     pairs = met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"))
