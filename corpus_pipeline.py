@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from thermolane.llm import bpe_stream, decontaminate, jaccard_join, pii, weak_quality
 from thermolane.llm.registry import SURROGATE_KEY, default_tokenizer, read
-from thermolane.llm.storage import stage
+from thermolane.llm.storage import small_batches, stage
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +53,9 @@ def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document its ids' count and digest, and that of the decoded text."""
-    return bpe_stream.digests(docs.select("doc_id", "text"), bpe_stream.load(spark, default_tokenizer()))
+    rows = bpe_stream.digests(docs.select("doc_id", "text"), bpe_stream.load(spark, default_tokenizer()))
+    with small_batches(spark):
+        return stage(rows, "tokens")
 
 
 STAGES = [

@@ -213,13 +213,8 @@ def load(spark, path: str) -> _Handle:
     return _Handle(spark, path)
 
 
-def encode(df: DataFrame, tokenizer: _Handle, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """All columns and ``ids_col``, array<int>; special tokens in a text are recognised, none is added.
-
-    A null text counts as empty and gives no ids. A column named ``ids_col`` is replaced.
-    """
-    keep = [c for c in df.columns if c != ids_col]
-    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+def _encoding(tokenizer: _Handle, text_col: str, ids_col: str):
+    """Batches with the ids of their texts as a last column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(tokenizer)
@@ -231,18 +226,13 @@ def encode(df: DataFrame, tokenizer: _Handle, text_col: str = "text", ids_col: s
                     out.extend(tok.encode(text.as_py()))
                     ends.append(len(out))
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(out, np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], [*keep, ids_col])
-
-    return df.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
+                yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, ids_col])
 
+    return run
 
-def decode(df: DataFrame, tokenizer: _Handle, ids_col: str = "ids", out_col: str = "decoded", readable: bool = False) -> DataFrame:
-    """All columns and ``out_col``: the library's decoding, or with ``readable`` the text of the bytes.
 
-    Null ids give an empty string. A column named ``out_col`` is replaced.
-    """
-    keep = [c for c in df.columns if c != out_col]
-    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(out_col, T.StringType())])
+def _decoding(tokenizer: _Handle, ids_col: str, out_col: str, readable: bool = False):
+    """Batches with the decoded ids as a last column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(tokenizer)
@@ -253,14 +243,53 @@ def decode(df: DataFrame, tokenizer: _Handle, ids_col: str = "ids", out_col: str
                 for v in part.column(ids_col):
                     ids = v.values.to_numpy(zero_copy_only=False).tolist() if v.is_valid else []
                     texts.append("".join(tok.text(ids)) if readable else tok.decode(ids))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*keep, out_col])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, out_col])
+
+    return run
+
+
+IDS_TYPE = T.ArrayType(T.IntegerType())
+
+
+def encode(df: DataFrame, tokenizer: _Handle, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+    """All columns and ``ids_col``, array<int>; special tokens in a text are recognised, none is added.
+
+    A null text counts as empty and gives no ids. A column named ``ids_col`` is replaced.
+    """
+    keep = [c for c in df.columns if c != ids_col]
+    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(ids_col, IDS_TYPE)])
+    return df.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(_encoding(tokenizer, text_col, ids_col), schema)
+
+
+def decode(df: DataFrame, tokenizer: _Handle, ids_col: str = "ids", out_col: str = "decoded", readable: bool = False) -> DataFrame:
+    """All columns and ``out_col``: the library's decoding, or with ``readable`` the text of the bytes.
+
+    Null ids give an empty string. A column named ``out_col`` is replaced.
+    """
+    keep = [c for c in df.columns if c != out_col]
+    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(out_col, T.StringType())])
+    return df.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(_decoding(tokenizer, ids_col, out_col, readable), schema)
+
+
+def recode(df: DataFrame, tokenizer: _Handle, text_col: str = "text", ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass, without the text: a task has one Python worker, not two.
+
+    Columns named ``ids_col`` or ``out_col`` are replaced.
+    """
+    keep = [c for c in df.columns if c not in (ids_col, out_col)]
+    rest = [c for c in keep if c != text_col]
+    schema = T.StructType([*(df.schema[c] for c in rest), T.StructField(ids_col, IDS_TYPE), T.StructField(out_col, T.StringType())])
+    encoded, decoded = _encoding(tokenizer, text_col, ids_col), _decoding(tokenizer, ids_col, out_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return decoded(batch.select([*rest, ids_col]) for batch in encoded(batches))
 
     return df.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
 
 
 def digests(df: DataFrame, tokenizer: _Handle, text_col: str = "text") -> DataFrame:
     """Encode, decode, and replace text, ids and decoded text by counts and digests."""
-    done = decode(encode(df, tokenizer, text_col), tokenizer)
+    done = recode(df, tokenizer, text_col)
     return done.select(
         *[F.col(f"`{c}`") for c in df.columns if c != text_col],
         F.size("ids").cast("long").alias("n_tokens"),

@@ -8,7 +8,6 @@ overlap of a pair is counted in each fragment on its own, and summed.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .storage import discard, stage
-from .textbytes import in_pieces, mixed, shingles
+from .storage import discard, small_batches, stage
+from .textbytes import mixed, shingles, text_pieces
 
 #: Counters of repeated shingles: a fixed number, so that what is broadcast never grows.
 SKETCH_BITS = 20
@@ -36,24 +35,33 @@ GROUP = 4096
 #: Shingles of a set of n beyond its first ones.
 BEYOND = "(({n} * {percent} + 99) div 100 - 1)"
 #: Sets that a task remembers, so as not to send their copies; copies beyond them go after the shuffle.
-SEEN = 1 << 20
+SEEN = 1 << 18
 
 
 def _bucket(prints: np.ndarray) -> np.ndarray:
-    return (prints >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+    return (prints >> np.uint64(64 - SKETCH_BITS)).view(np.int64)
 
 
-def _first_of_its_set(node: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """One row of each set that is not in ``before``: copies add nothing."""
-    new = np.zeros(len(node), bool)
-    new[np.unique(node, return_index=True)[1]] = True
-    return new & ~np.isin(node, before)
+class _Seen:
+    """Sets that a task has met: of those with the same last bits the latest, so that its size is fixed."""
 
+    def __init__(self):
+        self.latest = np.arange(1, SEEN + 1)  # no place holds a set of its own yet
 
-def _repeats(block: list[np.ndarray]) -> np.ndarray:
-    """Per counter how often its shingles occur again among those of the block."""
-    h = np.sort(np.concatenate([np.zeros(0, np.uint64), *block]))
-    return np.bincount(_bucket(h[1:][h[1:] == h[:-1]]), minlength=1 << SKETCH_BITS)
+    def first(self, node: np.ndarray) -> np.ndarray:
+        """One row of each set that is not remembered: copies add nothing."""
+        new = np.zeros(len(node), bool)
+        new[np.unique(node, return_index=True)[1]] = True
+        at = node & (SEEN - 1)
+        new &= self.latest[at] != node
+        self.latest[at] = node
+        return new
+
+
+def _repeats(block: np.ndarray) -> np.ndarray:
+    """Per counter how often its shingles occur again among those of the block, which is sorted in place."""
+    block.sort()
+    return np.bincount(_bucket(block[1:][block[1:] == block[:-1]]), minlength=1 << SKETCH_BITS)
 
 
 def _profiles(width: int):
@@ -61,25 +69,26 @@ def _profiles(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
-        block, held, seen = [], 0, np.zeros(0, np.int64)
+        block, held, seen = np.empty(BLOCK, np.uint64), 0, _Seen()
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for i, j in in_pieces(texts):
-                row, h = shingles(texts[i:j], width)
+            ids = batch.column(0)
+            for i, j, texts in text_pieces(batch.column(1)):
+                row, h = shingles(texts, width)
                 n = np.bincount(row, minlength=j - i)
                 marks = [_mark(h, n, 1), _mark(h, n, 2)]
-                block.append(h[_first_of_its_set(marks[0], seen)[row]])
-                held, seen = held + len(block[-1]), np.union1d(seen, marks[0])
-                if held >= BLOCK:
-                    counts += _repeats(block)
-                    block, held, seen = [], 0, seen[:0]
+                if held + len(h) > len(block):
+                    counts += _repeats(block[:held])
+                    block, held, seen = np.empty(max(BLOCK, len(h)), np.uint64), 0, _Seen()
+                new = h[seen.first(marks[0])[row]]
+                block[held : held + len(new)] = new
+                held += len(new)
                 none = pa.nulls(j - i, pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(i, j - i), pa.array(n), pa.array(marks[0]), pa.array(marks[1]),
                      pa.nulls(j - i, pa.int32()), none],
                     ["doc_id", "n", "m1", "m2", "chunk", "counts"],
                 )
-        counts += _repeats(block)
+        counts += _repeats(block[:held])
         parts = np.minimum(counts, 2**31 - 1).astype(np.int32).reshape(-1, 1 << CHUNK_BITS)
         some = np.flatnonzero(parts.any(1))
         empty = pa.nulls(len(some), pa.int64())
@@ -91,18 +100,18 @@ def _profiles(width: int):
     return run
 
 
-def _summed(key, group):
+def _summed(group: pa.Table) -> pa.Table:
     total = np.zeros(1 << CHUNK_BITS, np.int64)
     for raw in group["counts"]:
-        total += np.frombuffer(raw, np.int32)
+        total += np.frombuffer(raw.as_buffer(), np.int32)
     level = np.ceil(np.log2(total + 1)).astype(np.uint8)
-    return group.iloc[:1][["chunk"]].assign(counts=[level.tobytes()])
+    return pa.table({"chunk": group["chunk"].slice(0, 1), "counts": pa.array([level.tobytes()], pa.binary())})
 
 
 def _levels(profiles: DataFrame) -> np.ndarray:
     """log2 of one more than each counter, rounded up: one byte for each of the fixed number of counters."""
     parts = profiles.where("chunk is not null").select("chunk", "counts")
-    rows = parts.groupBy("chunk").applyInPandas(_summed, "chunk int, counts binary").collect()
+    rows = parts.groupBy("chunk").applyInArrow(_summed, "chunk int, counts binary").collect()
     out = np.zeros(1 << SKETCH_BITS, np.uint8)
     for chunk, raw in rows:
         out[chunk << CHUNK_BITS : (chunk + 1) << CHUNK_BITS] = np.frombuffer(raw, np.uint8)
@@ -134,12 +143,10 @@ def _ordered(texts, width, levels, wanted):
 def _prefixes(width: int, shared, percent: int):
     def run(batches):
         levels = np.frombuffer(shared.value, np.uint8)
-        seen = np.zeros(0, np.int64)
+        seen = _Seen()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for i, j in in_pieces(texts):
-                node, row, key, n, place = _ordered(texts[i:j], width, levels, partial(_first_of_its_set, before=seen))
-                seen = np.union1d(seen, node) if len(seen) < SEEN else np.unique(node)
+            for _, _, texts in text_pieces(batch.column(0)):
+                node, row, key, n, place = _ordered(texts, width, levels, seen.first)
                 # Two linked sets share percent of the larger one at least, so also one of the first
                 # n - ceil(percent n) + 1 shingles of each.
                 first = place < n - -(-n * percent // 100) + 1
@@ -164,9 +171,8 @@ def _segments(width: int, shared, filled):
             return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for i, j in in_pieces(texts):
-                node, row, key, _, _ = _ordered(texts[i:j], width, levels, wanted)
+            for _, _, texts in text_pieces(batch.column(0)):
+                node, row, key, _, _ = _ordered(texts, width, levels, wanted)
                 fragment = (key >> FRAGMENT_SHIFT).astype(np.int64)
                 edge = (row[1:] != row[:-1]) | (fragment[1:] != fragment[:-1])
                 start = np.flatnonzero(np.concatenate([[True], edge])[: len(row)])
@@ -198,7 +204,8 @@ def _linked(pairs: DataFrame, texts: DataFrame, width: int, shared, percent: int
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     filled = texts.sparkSession.sparkContext.broadcast(_filter_of(nodes))
     segments = texts.mapInArrow(_segments(width, shared, filled), "node long, fragment int, keys array<long>")
-    segments = stage(segments.dropDuplicates(["node", "fragment"]), "segments")
+    with small_batches(texts.sparkSession):
+        segments = stage(segments.dropDuplicates(["node", "fragment"]), "segments")
     left = pairs.join(segments.select(F.col("node").alias("a"), "fragment", F.col("keys").alias("x")), "a")
     both = left.join(
         segments.select(F.col("node").alias("b"), "fragment", F.col("keys").alias("y")), ["b", "fragment"]
@@ -288,12 +295,11 @@ def jaccard_components(
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    profiles = stage(
-        source.mapInArrow(
-            _profiles(width), "doc_id long, n long, m1 long, m2 long, chunk int, counts binary"
-        ),
-        "profiles",
+    profiles = source.mapInArrow(
+        _profiles(width), "doc_id long, n long, m1 long, m2 long, chunk int, counts binary"
     )
+    with small_batches(spark):
+        profiles = stage(profiles, "profiles")
     shared = spark.sparkContext.broadcast(_levels(profiles).tobytes())
     sets = profiles.where("chunk is null")
     usable = sets.where("n > 0 and doc_id is not null")
@@ -306,7 +312,8 @@ def jaccard_components(
     size = F.count("*").over(Window.partitionBy("s", "salt"))
     several = prefix.withColumn("k", size).where("k > 1 or dealt").select("s", "salt", "node", "n", "place")
     # Copies of a set lie in the group of its shingle, so this needs no shuffle of its own.
-    shared_rows = stage(several.distinct().drop("salt"), "shared")
+    with small_batches(spark):
+        shared_rows = stage(several.distinct().drop("salt"), "shared")
     # First every set meets, of its size band, a node that has fewest rarer shingles before a shared one: among
     # near copies that is the text they were made from, or for a rare shingle the copy with least other changes.
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent)))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 ODD = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
@@ -34,7 +38,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """ODD**i and its inverse modulo 2**64, for i below at least n."""
     known = _POWERS.get("p")
     if known is None or len(known[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 19)
         inverse = pow(ODD, -1, 1 << 64)
         up, down = np.full(size, ODD, np.uint64), np.full(size, inverse, np.uint64)
         up[0] = down[0] = 1
@@ -88,6 +92,19 @@ def shingles(texts: list[str | None], width: int) -> tuple[np.ndarray, np.ndarra
     return r[new], h[new]
 
 
+def text_pieces(texts: pa.Array, most: int = 1 << 18) -> Iterator[tuple[int, int, list[str | None]]]:
+    """(start, end, texts) of slices of the batch of about ``most`` bytes, one text at least.
+
+    Only a slice at a time is made into strings. What ``shingles`` holds is some 60 times a slice.
+    """
+    ends = np.concatenate([[0], np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))])
+    start = 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(ends, ends[start] + most, "right")) - 1)
+        yield start, end, texts.slice(start, end - start).to_pylist()
+        start = end
+
+
 def in_pieces(texts: list, most: int = 2 << 20):
     """Slices of the batch of about ``most`` characters, one text at least."""
     start, size = 0, 0
