@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from thermolane.llm import divergence
@@ -81,3 +82,38 @@ def test_terms_in_slices(monkeypatch):
     for size in (1, 3, 8, 10**6):
         monkeypatch.setattr(divergence, "SLICE", size)
         assert [w.decode() for w in divergence._terms(text)] == want
+
+
+def test_a_task_hands_on_one_row_per_term_of_a_language(spark):
+    rows = [(i, f"The word{'abc'[i % 3]} the", "en", f"s{i % 20}", "clash", 1) for i in range(200)] + [(1, None, "fr", "none", "c", 1)]
+    found = divergence.count_terms(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()
+    assert len(found) == 6
+    got = {(r.lang, r.term): (r.n, r.docs, {c.source: c.n for c in r["counts"]}) for r in found}
+    assert got["en", "the"] == (400, 200, {f"s{k}": 20 for k in range(20)})
+    assert got["en", "worda"][:2] == (67, 67) and sum(got["en", "wordb"][2].values()) == 67
+    assert got["en", None] == (0, 0, {f"s{k}": 0 for k in range(20)}) and got["fr", None] == (0, 0, {"none": 0})
+
+
+@pytest.mark.parametrize(("held", "piece", "rows_", "slice_"), [(10**6, 4 << 20, 1 << 16, 4 << 20), (30, 200, 7, 150), (1, 1, 1, 1), (10**6, 1000, 5, 10**6)])
+def test_counts_at_any_limit(monkeypatch, held, piece, rows_, slice_):
+    rows = [("x", "empty", ""), ("x", "empty", "12 ;"), *((lang or "", s, t or "") for _, t, lang, s, *_ in sample() if s), ("fr", "s1", "日本 " * 300)]
+    batches = [pa.RecordBatch.from_pydict({c: [r[k] for r in rows[at : at + 50]] for k, c in enumerate(("lang", "source", "text"))}) for at in range(0, len(rows), 50)]
+    for name, value in (("HELD", held), ("PIECE", piece), ("ROWS", rows_), ("SLICE", slice_)):
+        monkeypatch.setattr(divergence, name, value)
+    counts, docs, groups = Counter(), Counter(), set()
+    for batch in divergence._count(iter(batches)):
+        for r in batch.to_pylist():
+            assert r["n"] == sum(c["n"] for c in r["counts"])
+            for c in r["counts"]:
+                if r["term"] is None:
+                    groups.add((r["lang"], c["source"]))
+                else:
+                    counts[r["lang"], c["source"], r["term"]] += c["n"]
+            if r["term"] is not None:
+                docs[r["lang"], r["term"]] += r["docs"]
+    want, spread = Counter(), Counter()
+    for lang, s, t in rows:
+        terms = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", t)]
+        want.update((lang, s, w) for w in terms)
+        spread.update((lang, w) for w in set(terms))
+    assert counts == want and docs == spread and groups == {r[:2] for r in rows}
